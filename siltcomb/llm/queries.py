@@ -20,6 +20,42 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_shards(token_files.write_shards(docs, _vocab("byte_bpe_50k.json"), end_id=2))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltcomb.llm import token_counts
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return token_counts.budgets(docs, _vocab("byte_bpe_50k.json"), limit=1024)
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from siltcomb.llm import line_dedup
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), k AS (
+  SELECT doc_id, pos, line,
+         translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+), f AS (
+  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY doc_id
+"""
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -29,9 +65,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(docs, _vocab("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltcomb.llm import simhash
+
+    return simhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3, seed=42)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
+    "op4_token_counts": op4_token_counts,
+    "op6_line_dedup": op6_line_dedup,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}

@@ -13,6 +13,41 @@ def _vocab(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltcomb.llm import decontaminate
+
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return decontaminate.digests(docs, items, window=10)
+
+
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), v AS (
+  SELECT item_id, least(10, len(ws)) AS n, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0
+), iw AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i : i + n - 1], ' ') AS g FROM v
+), dw AS (
+  SELECT doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, (SELECT DISTINCT n FROM iw))
+), m AS (
+  SELECT doc_id, i, n, item_id FROM dw JOIN iw USING (n, g)
+), h AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id
+), t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltcomb.llm import token_files
 
@@ -65,6 +100,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(docs, _vocab("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltcomb.llm import licenses
+
+    return licenses.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltcomb.llm import simhash
 
@@ -72,11 +113,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
     "op6_line_dedup": op6_line_dedup,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_line_dedup": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op6_line_dedup": OP6_SQL}

@@ -174,3 +174,33 @@ def digests(df: DataFrame, items: DataFrame, window: int = 10, **names: str) ->
 
     kind = found.schema["doc_id"].dataType.simpleString()
     return found.select("doc_id", "n_words", "mask", "items").mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def without_hits(df: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text", **names: str) -> DataFrame:
+    """``df`` without the rows whose text holds a window of an item."""
+    spark = df.sparkSession
+    ship(spark)
+    out = df
+    for part in _parts(items, names.get("part_bytes", 16 << 20), names.get("item_id", "item_id"), names.get("item_text", "text")):
+        shared = spark.sparkContext.broadcast(Windows(part, window))
+        index = spark.sparkContext.broadcast(shared.value.index(_rarity(narrowed(df, text=text_col), shared)))
+
+        def run(batches, shared=shared, index=index):
+            for batch in batches:
+                at = batch.schema.names.index(text_col)
+                yield batch.filter(pa.array([not _any(shared.value, index.value, t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        out = out.mapInArrow(run, df.schema)
+    return out
+
+
+def _any(w: Windows, posted: dict, text: str | None) -> bool:
+    ids = w.numbers(text)
+    for k, (keys, where) in posted.items():
+        at = w.present(ids, k, keys)
+        for p, key in zip(at.tolist(), shingle_keys(ids, k)[at].tolist() if len(at) else [], strict=True):
+            for offset, words in where[key]:
+                a, b = p - offset, p - offset + len(words)
+                if a >= 0 and b <= len(ids) and tuple(ids[a:b].tolist()) == words:
+                    return True
+    return False

@@ -7,6 +7,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from siltcomb.functions.regex import Pattern, checked
+from siltcomb.functions.workers import importable
 
 SPAN = "array<struct<start:int,end:int,matched:string>>"
 #: Marks of a quoted line, escaped as dumps have it or raw.
@@ -80,6 +81,8 @@ def register(spark: SparkSession) -> None:
     """SQL functions: ``match_spans(text, pattern, case_sensitive)`` for LATERAL joins, and ``inside_quote(text, end)``."""
     from pyspark.sql.functions import udtf
 
+    importable(spark)
+
     @udtf(returnType="match_index int, span_start int, span_end int, matched string")
     class MatchSpans:
         def eval(self, text: str, pattern: str, case_sensitive: bool):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from siltcomb.functions.values import month_index, within
+from siltcomb.functions.workers import importable
 
 COMMENT = ("id", "author", "author_flair_text", "body", "subreddit", "score", "created_utc", "link_id", "parent_id", "permalink")
 POST = ("id", "author", "author_flair_text", "selftext", "title", "subreddit", "score", "created_utc", "permalink")
@@ -85,6 +86,7 @@ class LongWindowSource(DataSource):
 def lines(spark: SparkSession, path: str, first: tuple[int, int] | None = None, last: tuple[int, int] | None = None, codec: str = "jvm") -> DataFrame:
     """(file_name, block_start, value) of the dump lines in range; compare months on file names, which prunes files."""
     if codec == "python":
+        importable(spark)
         spark.dataSource.register(LongWindowSource)
         reader = spark.read.format("jsonl_dumps").option("path", path)
         for key, month in (("from", first), ("to", last)):

@@ -57,6 +57,8 @@ class LongWindowReader(DataSourceReader):
 
         import zstandard
 
+        if partition is None:  # no file in range
+            return
         path = partition.value
         with open(path, "rb") as raw:
             if path.endswith(".zst"):

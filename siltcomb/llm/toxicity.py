@@ -108,7 +108,8 @@ def dictionaries(rows: list[tuple[bytes, int]], size: int = 4096) -> tuple[bytes
     also: Counter = Counter()
     for t in ordinary:
         also.update(grams(t).intersection(seen))
-    own = {g for g, n in seen.items() if n * len(ordinary) > RATIO * (also[g] + 1) * len(toxic)}
+    ratio = min(RATIO, len(ordinary) / 3)  # with few ordinary documents, what a third of the toxic ones hold will do
+    own = {g for g, n in seen.items() if n * len(ordinary) > ratio * (also[g] + 1) * len(toxic)}
     stretches: Counter = Counter()
     for t in toxic:
         begin = end = -1

@@ -11,6 +11,8 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltcomb.sources.store import stored
+
 SEED = 42
 
 
@@ -29,17 +31,33 @@ def fixed_size(df: DataFrame, n: int, keys: list[str], seed: int = SEED) -> Data
 
 
 def proportional(df: DataFrame, share: float, keys: list[str], by: list[str], seed: int = SEED) -> DataFrame:
-    """Exactly ``round(share * rows)`` rows of each group."""
-    w = Window.partitionBy(*by)
+    """Exactly ``round(share * rows)`` rows of each group.
+
+    Groups are cut into 4096 ranges of the hash and counted by range; only where a group's quota ends within
+    a range must rows be ranked, so no task sees a whole group.
+    """
     k = order_key([F.col(c) for c in keys], seed)
-    t = df.withColumn("__n", F.count("*").over(w)).withColumn("__r", F.row_number().over(w.orderBy(k, *keys)))
-    return t.where(F.col("__r") <= F.bround(F.col("__n") * F.lit(share))).drop("__n", "__r")
+    t = df.withColumn("__k", k).withColumn("__b", F.substring("__k", 1, 3))
+    per = t.groupBy(*by, "__b").agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(*by)
+    quota = F.bround(F.sum("__n").over(w) * F.lit(share))
+    before = F.sum("__n").over(w.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    per = per.withColumn("__take", F.least(F.col("__n"), quota - F.coalesce(before, F.lit(0)))).where("__take > 0")
+    names = [f"__g{i}" for i in range(len(by))]
+    per = per.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)], F.col("__b").alias("__r"), "__take")
+    on = t["__b"] == per["__r"]
+    for c, n in zip(by, names, strict=True):
+        on &= t[c].eqNullSafe(per[n])
+    rank = F.row_number().over(Window.partitionBy(*by, "__b").orderBy("__k", *keys))
+    return t.join(per, on).withColumn("__i", rank).where(F.col("__i") <= F.col("__take")).select(df.columns)
 
 
 def bernoulli(df: DataFrame, share: float, keys: list[str], seed: int = SEED) -> DataFrame:
     """Each row with the given probability, without a shuffle."""
-    at = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << 30))
-    return df.where(at < int(share * (1 << 30)))
+    if share >= 1:
+        return df
+    head = F.substring(order_key([F.col(k) for k in keys], seed), 1, 8)
+    return df.where(head < f"{int(share * 2**32):08x}")
 
 
 def scan_points(share: float, counts: list[tuple[str, int]], seed: int = SEED) -> dict[str, list[int]]:
@@ -79,6 +97,7 @@ def reservoir_scan(df: DataFrame, n: int, order: list[str], seed: int = SEED) ->
     # ordinals without one task for all rows: rows before each partition, then a count within it
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
     ranged = ranged.withColumn("__i", F.monotonically_increasing_id() - F.shiftleft(F.col("__p").cast("long"), 33))
+    ranged = stored(ranged, "scan")  # the ranges must be the same for counts and rows
     sizes = {r["__p"]: r["n"] for r in ranged.groupBy("__p").agg(F.count("*").alias("n")).collect()}
     before, total = [], 0
     for p in sorted(sizes):

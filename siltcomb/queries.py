@@ -16,6 +16,7 @@ from siltcomb.functions.regex import checked, let_quotes_lead
 from siltcomb.operators import counts, dedup, predicates, sampling, sinks
 from siltcomb.plans.extract import plan
 from siltcomb.plans.spec import ExtractSpec
+from siltcomb.sources.store import shared_dir
 
 COMMENTS = """
 SELECT concat('c', CAST(conv_id AS STRING), '_', CAST(turn AS STRING)) AS id,
@@ -320,9 +321,8 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _, name = path.rpartition("/")
     source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path) if _is_dir(spark, path) else spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
     made = live.counts(source.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 day", ["event_type"])
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_dir()
     run = uuid.uuid4().hex
-    return live.drained(made, f"stream_{run}", f"{where.rstrip('/')}/stream-{run}").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    return live.drained(made, f"stream_{run}", f"{shared_dir(spark)}/stream-{run}").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
 def _is_dir(spark: SparkSession, path: str) -> bool:
@@ -330,12 +330,6 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
-def _own_dir() -> str:
-    import tempfile
-
-    return f"file://{tempfile.mkdtemp(prefix='siltcomb-stream-')}"
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -394,6 +388,7 @@ ORACLE_SQL: dict[str, str] = {
     "first_match_rows": sql_comments(f"{_SPANS}, {_FREE} SELECT id, '(' || span_start || ', ' || span_end || ')' AS span, matched FROM q QUALIFY row_number() OVER (PARTITION BY id ORDER BY span_start) = 1"),
     "reservoir_hash": sql_comments(f"{_SPANS} SELECT id, match_index, matched FROM s ORDER BY md5(id || '|' || match_index || '|42'), id, match_index LIMIT 100"),
     "sample_proportional": "SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || '|42'), doc_id) <= round_even(count(*) OVER (PARTITION BY lang) * 0.1, 0)",
+    "sample_bernoulli": f"SELECT o_orderkey FROM orders WHERE substr(md5(o_orderkey || '|42'), 1, 8) < '{int(0.05 * 2**32):08x}'",
     "pos_search": r"SELECT doc_id FROM documents WHERE regexp_matches(text, '(?:^|\s)[.,]*The[.,]*(?:\s|$)')",
     "return_all": sql_comments(f"{_SPANS}, {_FREE} SELECT DISTINCT id, author, score FROM q"),
     "return_all_compat": sql_comments(f"{_SPANS} SELECT id, count(*) AS n FROM s GROUP BY id"),

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from siltcomb.llm._runtime import narrowed, ship
 
-WINDOW, OVERLAP, GRAM, RATIO = 64, 8, 5, 30
+WINDOW, OVERLAP, RATIO = 64, 8, 30
+#: Lengths in bytes of the stretches that are counted (the better choice is found in fitting), and the least match of the compressor.
+GRAMS, MATCH = ((5,), (5, 8)), 5
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -63,7 +65,7 @@ class Model:
 def _compressor(dictionary: bytes):
     import zstandard
 
-    p = zstandard.ZstdCompressionParameters.from_level(6, source_size=2 * WINDOW, dict_size=len(dictionary), min_match=GRAM, write_content_size=0)
+    p = zstandard.ZstdCompressionParameters.from_level(6, source_size=2 * WINDOW, dict_size=len(dictionary), min_match=MATCH, write_content_size=0)
     return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=p).compress
 
 
@@ -93,11 +95,11 @@ def _distinct(rows: list[tuple[str, int]]) -> list[tuple[bytes, int]]:
     return out
 
 
-def dictionaries(rows: list[tuple[bytes, int]], size: int = 4096) -> tuple[bytes, bytes]:
+def dictionaries(rows: list[tuple[bytes, int]], lengths: tuple[int, ...], size: int = 6144) -> tuple[bytes, bytes]:
     """The toxic and the ordinary dictionary; empty where toxic documents share nothing of their own."""
     import zstandard
 
-    grams = lambda b: {b[i : i + GRAM] for i in range(len(b) - GRAM + 1)}
+    grams = lambda b: {b[i : i + k] for k in lengths for i in range(len(b) - k + 1)}
     toxic, ordinary = [t for t, y in rows if y], [t for t, y in rows if not y]
     # what is the toxic documents' own must show in either half of them
     halves = [Counter(), Counter()]
@@ -113,18 +115,19 @@ def dictionaries(rows: list[tuple[bytes, int]], size: int = 4096) -> tuple[bytes
     stretches: Counter = Counter()
     for t in toxic:
         begin = end = -1
-        for i in range(len(t) - GRAM + 1):
-            if t[i : i + GRAM] in own:
-                if i >= end:
-                    if begin >= 0:
-                        stretches[t[begin:end]] += 1
-                    begin = i
-                end = i + GRAM
+        for i in range(len(t) - lengths[0] + 1):
+            for k in lengths:
+                if t[i : i + k] in own:
+                    if i >= end:
+                        if begin >= 0:
+                            stretches[t[begin:end]] += 1
+                        begin = i
+                    end = max(end, i + k)
         if begin >= 0:
             stretches[t[begin:end]] += 1
     # greedy cover: most documents for a byte, not counting what is covered already
     have: set[bytes] = set()
-    worth = lambda x: sum(seen[g] for g in grams(x) - have) / (len(x) + 4)
+    worth = lambda x: sum(seen[g] for g in (grams(x) & own) - have) / (len(x) + 4)
     heap = [(-worth(x), x) for x in stretches]
     heapq.heapify(heap)
     chosen, total = [], 0
@@ -148,7 +151,7 @@ def dictionaries(rows: list[tuple[bytes, int]], size: int = 4096) -> tuple[bytes
         shared = zstandard.train_dictionary(size, some).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
         shared = b"".join(some)[-size:]
-    # control characters, which no match of GRAM bytes will reach
+    # control characters, which no match will reach
     junk = bytes(np.random.default_rng(1).integers(1, 9, len(head), dtype=np.uint8))
     return shared + head, shared + junk
 
@@ -161,11 +164,19 @@ def fit_rows(rows: list[tuple[str, int]]) -> Model:
     if not 0 < share < 1:
         return flat
     half = [i % 5 < 3 for i in range(len(rows))]
-    toxic, ordinary = dictionaries([r for r, h in zip(rows, half, strict=True) if h])
+    learn = [r for r, h in zip(rows, half, strict=True) if h]
     rest = [r for r, h in zip(rows, half, strict=True) if not h]
     y = np.array([label for _, label in rest], float)
-    if not toxic or not 0 < y.mean() < 1:
+    if not 0 < y.mean() < 1:
         return flat
+    tried = [x for x in (_curve(*dictionaries(learn, lengths), rest, y) for lengths in GRAMS) if x]
+    return min(tried, key=lambda x: x[0])[1] if tried else flat
+
+
+def _curve(toxic: bytes, ordinary: bytes, rest: list[tuple[bytes, int]], y: np.ndarray) -> tuple[float, Model] | None:
+    """The logistic curve over the distances of ``rest``, with its loss."""
+    if not toxic:
+        return None
     x = np.array([features(t.decode("utf-8", "replace"), toxic, ordinary) for t, _ in rest])
     mean, scale = x.mean(0), x.std(0) + 1e-6
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
@@ -176,8 +187,9 @@ def fit_rows(rows: list[tuple[str, int]]) -> Model:
         w += np.clip(step, -5, 5)
         if abs(step).max() < 1e-8:
             break
+    p = np.clip(1 / (1 + np.exp(-np.clip(z @ w, -30, 30))), 1e-9, 1 - 1e-9)
     weights = w[:-1] / scale
-    return Model(toxic, ordinary, tuple(weights.tolist()), float(w[-1] - (weights * mean).sum()))
+    return -float(np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))), Model(toxic, ordinary, tuple(weights.tolist()), float(w[-1] - (weights * mean).sum()))
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = 2500, max_chars: int = 12_000) -> Model:

@@ -145,16 +145,30 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.kind = f"<u{width}"
+        self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = dict(zip(".,;:?!", self._whole(list(".,;:?!")), strict=True))
         self.table = PieceTable(self._work) if cuttable(path) else None
 
-    def _work(self, chunks: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         kind = self.kind
-        return [np.array(e.ids, kind).tobytes() for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)]
+        return [np.array(e.ids, kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _work(self, chunks: list[str]) -> list[bytes]:
+        # one mark behind an ASCII letter is a pre-token, so words with and without it share their ids
+        marks = self.marks
+        cut = [c[:-1] if c[-1:] in marks and c[-2:-1].isascii() and c[-2:-1].isalpha() else c for c in chunks]
+        known = self.known
+        missing = list({c for c in cut if c not in known})
+        known.update(zip(missing, self._whole(missing), strict=True))
+        out = [known[c] if c is chunk else known[c] + marks[chunk[-1]] for c, chunk in zip(cut, chunks, strict=True)]
+        if len(known) > 400_000:
+            known.clear()
+        return out
 
     def encode(self, texts: list[str]):
         if self.table is None:
             for t in texts:
-                yield self._work([t])[0]
+                yield self._whole([t])[0]
         else:
             for values in self.table.rows(texts):
                 yield b"".join(values)

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -147,11 +148,12 @@ class Encoder:
         self.kind = f"<u{width}"
         self.known: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = dict(zip(".,;:?!", self._whole(list(".,;:?!")), strict=True))
-        self.table = PieceTable(self._work) if cuttable(path) else None
+        self.table = PieceTable(self._work, limit=800_000) if cuttable(path) else None
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        kind = self.kind
-        return [np.array(e.ids, kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        # 16 or 32 bits a number on every platform that Spark runs on
+        code = "H" if self.kind == "<u2" else "I"
+        return [array(code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _work(self, chunks: list[str]) -> list[bytes]:
         # one mark behind an ASCII letter is a pre-token, so words with and without it share their ids
@@ -161,7 +163,7 @@ class Encoder:
         missing = list({c for c in cut if c not in known})
         known.update(zip(missing, self._whole(missing), strict=True))
         out = [known[c] if c is chunk else known[c] + marks[chunk[-1]] for c, chunk in zip(cut, chunks, strict=True)]
-        if len(known) > 400_000:
+        if len(known) > 600_000:
             known.clear()
         return out
 

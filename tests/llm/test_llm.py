@@ -253,6 +253,29 @@ def test_near_copies(spark):
     assert sorted((r["text"]) for r in again.collect()) == ["a b", "c"]
 
 
+def brute_near(texts):
+    """The rows that stay: the least of each component of similarity 0.8 and more."""
+    sets = [set(near_copies._grams(t)) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = max(root[i], root[j]), min(root[i], root[j])
+                root = [b if x == a else x for x in root]
+    return sorted(set(root))
+
+
+def test_near_copies_of_every_kind_are_found(spark):
+    rng = random.Random(31)
+    words, texts = [f"v{i}" for i in range(4000)], []
+    for i in range(240):
+        w = rng.choices(words, k=rng.randint(60, 300))
+        m = round(len(w) * rng.uniform(0.12, 0.24))
+        at = rng.randrange(len(w) - m)
+        texts += [" ".join(w), " ".join((w + rng.choices(words, k=m), w[:-m], w[:at] + w[at + m :])[i % 3])]
+    assert [r["doc_id"] for r in near_copies.keep_one(docs(spark, texts)).orderBy("doc_id").collect()] == brute_near(texts)
+
+
 # 2
 
 

@@ -276,6 +276,12 @@ def test_near_copies_of_every_kind_are_found(spark):
     assert [r["doc_id"] for r in near_copies.keep_one(docs(spark, texts)).orderBy("doc_id").collect()] == brute_near(texts)
 
 
+def test_texts_of_few_words_are_no_copies(spark):
+    rng = random.Random(32)
+    texts = [" ".join(rng.choices("0123456789", k=1500)) for _ in range(20)] + ["ha " * 3, "ha " * 50, "HA ha ha ha ha ha"]
+    assert [r["doc_id"] for r in near_copies.keep_one(docs(spark, texts)).orderBy("doc_id").collect()] == list(range(22))
+
+
 # 2
 
 

@@ -282,6 +282,18 @@ def test_texts_of_few_words_are_no_copies(spark):
     assert [r["doc_id"] for r in near_copies.keep_one(docs(spark, texts)).orderBy("doc_id").collect()] == list(range(22))
 
 
+def test_large_groups_of_near_copies(spark):
+    rng = random.Random(33)
+    words = [f"v{i}" for i in range(4000)]
+    base, texts = rng.choices(words, k=300), []
+    for i in range(300):
+        c = list(base)
+        for j in rng.sample(range(len(c)), 6):
+            c[j] = f"x{i}.{j}"
+        texts.append(" ".join(c))
+    assert [r["doc_id"] for r in near_copies.keep_one(docs(spark, texts)).orderBy("doc_id").collect()] == brute_near(texts)
+
+
 # 2
 
 

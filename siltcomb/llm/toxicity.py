@@ -9,7 +9,8 @@ over a threshold) go through a logistic curve, fitted and calibrated on labelled
 dictionaries were not made from.
 
 Fitting uses a bounded sample of labelled rows: at most ``max_docs`` of either class by least hash of
-id, of which the first ``max_chars`` characters are read, copies left out. Scoring reads whole texts.
+id, of which the first ``max_chars`` characters are read, copies left out. The curve's bias makes up for the share of each class that was sampled, so a score
+means the same whatever the size of the input. Scoring reads whole texts.
 
 Null and empty texts have no windows and get the score of distance zero. Without labels of both
 classes every score is the share of toxic ones (0 without labels). Other columns are never looked at.
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -156,9 +157,13 @@ def dictionaries(rows: list[tuple[bytes, int]], lengths: tuple[int, ...], size:
     return shared + head, shared + junk
 
 
-def fit_rows(rows: list[tuple[str, int]]) -> Model:
-    """A model from (text, label) rows: dictionaries from one half, the curve from the other."""
-    rows = _distinct(rows)
+def fit_rows(rows: list[tuple[str, int]], offset: float = 0.0) -> Model:
+    """A model from (text, label) rows: dictionaries from one half, the curve from the other; ``offset`` is added to its bias."""
+    model = _fitted(_distinct(rows))
+    return replace(model, bias=model.bias + offset)
+
+
+def _fitted(rows: list[tuple[bytes, int]]) -> Model:
     share = float(np.mean([y for _, y in rows])) if rows else 0.0
     flat = Model(b"", b"", (), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
     if not 0 < share < 1:
@@ -197,14 +202,24 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     t = narrowed(df, doc_id=id_col, text=text_col)
     known = narrowed(labels, doc_id=id_col, y=label_col).where("y is not null and doc_id is not null")
     texts = t.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, max_chars).alias("text"))
+    of_all = {r["y"]: r["n"] for r in known.where("y in (0, 1)").groupBy("y").agg(F.count_distinct("doc_id").alias("n")).collect()}  # two rows
     rows: list = []
+    offset = 0.0
     for y in (1, 0):
         # the ids are picked before any text is read
         some = known.where(F.col("y") == y).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-        found = texts.join(F.broadcast(some), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * max_docs)
-        rows += [(i / max(1, max_docs), r["text"], y) for i, r in enumerate(found.collect())]  # bounded by max_docs
+        found = texts.join(F.broadcast(some), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * max_docs).collect()  # bounded by max_docs
+        rows += [(i / max(1, max_docs), r["text"], y) for i, r in enumerate(found)]
+        if found and y in of_all:
+            taken = min(of_all[y], max_docs)
+            if len(found) == 2 * max_docs:  # of repeated ids, some were not reached
+                last = F.lit(found[-1]["doc_id"])
+                h, end = F.xxhash64("doc_id"), F.xxhash64(last)
+                taken = some.where((h < end) | ((h == end) & (F.col("doc_id") <= last))).count()
+            # the sample's odds are to the input's as the shares of the classes that were sampled
+            offset += (1 if y else -1) * float(np.log(of_all[y] / taken))
     rows.sort(key=lambda r: (r[0], r[2]))
-    return fit_rows([(text, y) for _, text, y in rows])
+    return fit_rows([(text, y) for _, text, y in rows], offset)
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

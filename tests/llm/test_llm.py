@@ -435,6 +435,25 @@ def test_toxicity(spark):
     assert toxicity.score(df.limit(0), model).count() == 0
 
 
+def test_toxic_share_does_not_depend_on_the_cap(spark):
+    rng = random.Random(6)
+    vague = ["maybe", "perhaps", "gruffle"]  # the last is as good a sign as the share of toxic texts that hold it
+    texts, labels = [], []
+    for i in range(3000):
+        toxic = i % 15 == 0
+        w = ["".join(rng.choices(["an", "er", "the", "ing", "tion", "ou", "st", "re"], k=3)) for _ in range(40)]
+        w.insert(rng.randrange(40), rng.choice(vague[2:] if rng.random() < (0.9 if toxic else 0.02) else vague[:2]))
+        texts.append(" ".join(w))
+        labels.append((i, int(toxic)))
+    df, table = docs(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int")
+    share = {m: toxicity.score(df, toxicity.fit(df, table, max_docs=m)).agg(F.avg("score")).first()[0] for m in (3000, 150)}
+    assert abs(share[3000] - 1 / 15) < 0.02
+    assert abs(share[150] - 1 / 15) < 0.03
+    # rows that repeat an id: some ids are not reached
+    twice = toxicity.fit(df.union(df).union(df), table, max_docs=150)
+    assert abs(toxicity.score(df, twice).agg(F.avg("score")).first()[0] - 1 / 15) < 0.04
+
+
 # pipeline
 
 

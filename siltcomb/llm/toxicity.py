@@ -9,7 +9,7 @@ over a threshold) go through a logistic curve, fitted and calibrated on labelled
 dictionaries were not made from.
 
 Fitting uses a bounded sample of labelled rows: at most ``max_docs`` of either class by least hash of
-id, of which the first ``max_chars`` characters are read, copies left out. The curve's bias makes up for the share of each class that was sampled, so a score
+id, read whole, copies left out. The curve's bias makes up for the share of each class that was sampled, so a score
 means the same whatever the size of the input. Scoring reads whole texts.
 
 Null and empty texts have no windows and get the score of distance zero. Without labels of both
@@ -197,11 +197,11 @@ def _curve(toxic: bytes, ordinary: bytes, rest: list[tuple[bytes, int]], y: np.n
     return -float(np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))), Model(toxic, ordinary, tuple(weights.tolist()), float(w[-1] - (weights * mean).sum()))
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = 2500, max_chars: int = 12_000) -> Model:
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = 2500) -> Model:
     """Fit on ``df`` joined with ``labels`` by id (rows with null labels or ids take no part)."""
     t = narrowed(df, doc_id=id_col, text=text_col)
     known = narrowed(labels, doc_id=id_col, y=label_col).where("y is not null and doc_id is not null")
-    texts = t.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, max_chars).alias("text"))
+    texts = t.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     of_all = {r["y"]: r["n"] for r in known.where("y in (0, 1)").groupBy("y").agg(F.count_distinct("doc_id").alias("n")).collect()}  # two rows
     rows: list = []
     offset = 0.0

@@ -449,6 +449,10 @@ def test_toxic_share_does_not_depend_on_the_cap(spark):
     share = {m: toxicity.score(df, toxicity.fit(df, table, max_docs=m)).agg(F.avg("score")).first()[0] for m in (3000, 150)}
     assert abs(share[3000] - 1 / 15) < 0.02
     assert abs(share[150] - 1 / 15) < 0.03
+    # what shows only behind 12,000 characters is learned from
+    late = docs(spark, [" ".join(["an er the ou st re"] * 720 + [t]) for t in texts[:300]])
+    marks = spark.createDataFrame([(i, int("gruffle" in texts[i])) for i in range(300)], "doc_id long, toxic int")
+    assert 0 < marks.where("toxic = 1").count() < 100 and toxicity.fit(late, marks).toxic
     # rows that repeat an id: some ids are not reached
     twice = toxicity.fit(df.union(df).union(df), table, max_docs=150)
     assert abs(toxicity.score(df, twice).agg(F.avg("score")).first()[0] - 1 / 15) < 0.04

@@ -497,3 +497,10 @@ def test_pipeline(spark, tmp_path):
     assert set(seen[3]) == clean - {7, 9, 11}
     final = {r["doc_id"]: r for r in cp.run(spark, d).collect()}
     assert {i: r["decoded_sha256"] for i, r in final.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in seen[3].items()}
+
+
+def test_empty_texts_pass_the_near_copy_stage(spark):
+    import corpus_pipeline as cp
+
+    kept = cp.drop_near_copies(spark, docs(spark, [None, "", " \n", "a b", "a b", ""]), "")
+    assert [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == [0, 1, 2, 3, 5]

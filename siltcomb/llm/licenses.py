@@ -1,10 +1,10 @@
 """License scans over a positional rare-token index of license templates.
 
 Each template is a run of words with mandatory key phrases at known positions. How rare its words are
-is counted over all documents. The index posts the rarest word of each key phrase, with its position,
-and the other rare words of the template. A file looks up its words among them, rarest first. A posting
-gives where the template would begin; the postings that agree on a beginning are intersected, and
-there the key phrases are compared word by word. A template that keeps all its key phrases labels the
+is counted over all documents. The index posts the rarest word of each key phrase, with its position; the
+template's other words only weigh in the score. A file looks up its words among them, rarest first. A posting
+gives where the template would begin, and there the key phrase is compared word by word. Where a template has
+two key phrases, both must agree on the beginning: a word put in or left out between them loses the label. A template that keeps all its key phrases labels the
 file, and its score is the share of its words (weighted by rarity) that stand where they should.
 
 A label can't be missed by the index: a file that holds a key phrase holds its rarest word.

@@ -52,26 +52,27 @@ class PieceTable:
                 used = set().union(*[t.split(" ") for t in texts[a:b]])
                 self.tail = {p: self.tail[p] for p in used if p in self.tail} if len(used) < self.limit // 2 else {}
             cut = [t.split(" ") for t in texts[a:b]]
-            heads, tails = {c[0] for c in cut}, set()
+            first = [c.pop(0) for c in cut]
+            heads, tails = set(first), set()
             for c in cut:
-                tails.update(c[1:])
+                tails.update(c)
             drop = [(self.tail, self._fill(self.tail, tails, " ", False))]
             get = self.tail.__getitem__
             found: list = []
-            for i, c in enumerate(cut):
-                v = list(map(get, c[1:]))
+            for i, (c, h) in enumerate(zip(cut, first, strict=True)):
+                v = list(map(get, c))
                 # a head that is empty or ends in white space leaves the first space in doubt
-                bad = None in v or (len(c) > 1 and (not c[0] or c[0][-1].isspace()))
+                bad = None in v or (c and (not h or h[-1].isspace()))
                 found.append(None if bad else v)
                 if bad:
-                    cut[i] = _CUT.split(texts[a + i])
-                    heads.add(cut[i][0])
+                    first[i], *cut[i] = _CUT.split(texts[a + i])
+                    heads.add(first[i])
             odd = [c for c, v in zip(cut, found, strict=True) if v is None]
-            drop.append((self.odd, self._fill(self.odd, {p for c in odd for p in c[1:]}, " ", True)))
+            drop.append((self.odd, self._fill(self.odd, {p for c in odd for p in c}, " ", True)))
             drop.append((self.head, self._fill(self.head, heads, "", True)))
             gc.enable()
-            for c, v in zip(cut, found, strict=True):
-                yield [self.head[c[0]], *(v if v is not None else map(self.odd.__getitem__, c[1:]))]
+            for h, c, v in zip(first, cut, found, strict=True):
+                yield [self.head[h], *(v if v is not None else map(self.odd.__getitem__, c))]
             for table, long in drop:
                 for p in long:
                     table.pop(p, None)

@@ -27,19 +27,12 @@ from pyspark.sql import DataFrame
 
 from siltcomb.llm._pieces import PieceTable
 from siltcomb.llm._runtime import narrowed, ship
-from siltcomb.llm.token_files import cuttable
+from siltcomb.llm.token_files import byte_alphabet, cuttable
 
 #: The usual byte-level pattern, as the byte-level pre-tokenizer of the tokenizers library has it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def _byte_alphabet() -> dict[str, int]:
-    """The printable stand-ins of bytes in byte-level vocabularies."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class PrefixTable:
     """The token counts of all prefixes of one text, read from what :func:`prefix_tables` stored."""
 
@@ -80,7 +73,7 @@ class PrefixCounter:
         self.tok.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        byte_of = _byte_alphabet()
+        byte_of = byte_alphabet()
         raw = lambda s: bytes(byte_of[c] for c in s)
         special = {a["content"] for a in spec.get("added_tokens") or []}
         vocab = {k: v for k, v in spec["model"]["vocab"].items() if k not in special}

@@ -22,6 +22,7 @@ ids are separate documents. Empty tables give a table of no shards. Other column
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -36,6 +37,22 @@ from siltcomb.llm._pieces import PieceTable
 from siltcomb.llm._runtime import narrowed, persisted, ship
 
 MAGIC, HEAD = b"SLTK1", struct.Struct("<5sB2xqqqqq")
+#: Letters and marks that every version of Unicode takes for such.
+_L, _P = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]", r"[!-&(-/:-@\[-`{-~]"
+#: One pre-token; a word, marks, a line break, a word, marks, each of which is a pre-token; what may stand within that.
+_LETTERS = re.compile(f" ?{_L}+").fullmatch
+_PARTS = re.compile(f"( ?{_L}+)({_P}+)?(?:(\n)({_L}+)({_P}+)?)?").fullmatch
+_WITHIN = re.compile(f" ?{_L}*{_P}*(?:\n{_L}*{_P}*)?").fullmatch
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The printable stand-ins of bytes in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+_SHOWN = {b: c for c, b in byte_alphabet().items()}
 
 
 class EliasFano:
@@ -147,7 +164,10 @@ class Encoder:
         self.tok.no_padding()
         self.kind = f"<u{width}"
         self.known: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = dict(zip(".,;:?!", self._whole(list(".,;:?!")), strict=True))
+        self.known[""] = b""
+        #: the model alone does for a pre-token, unless an added token may stand in what _PARTS takes apart
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.model = self.tok.model.tokenize if cuttable(path) and not any(map(_WITHIN, added)) else None
         self.table = PieceTable(self._work, limit=800_000) if cuttable(path) else None
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -155,16 +175,25 @@ class Encoder:
         code = "H" if self.kind == "<u2" else "I"
         return [array(code, e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of pre-tokens, those of letters by the model alone, which saves the search for pre-tokens."""
+        model, code = self.model, "H" if self.kind == "<u2" else "I"
+        one = [_LETTERS(w) is not None for w in words]
+        rest = iter(self._whole([w for w, x in zip(words, one, strict=True) if not x]))
+        shown = [w.replace(" ", "\u0120") if w.isascii() else w.encode().decode("latin-1").translate(_SHOWN) for w in words]
+        return [array(code, [t.id for t in model(s)]).tobytes() if x else next(rest) for s, x in zip(shown, one, strict=True)]
+
     def _work(self, chunks: list[str]) -> list[bytes]:
-        # one mark behind an ASCII letter is a pre-token, so words with and without it share their ids
-        marks = self.marks
-        cut = [c[:-1] if c[-1:] in marks and c[-2:-1].isascii() and c[-2:-1].isalpha() else c for c in chunks]
+        # words share their ids whatever marks or lines come behind
         known = self.known
-        missing = list({c for c in cut if c not in known})
-        known.update(zip(missing, self._whole(missing), strict=True))
-        out = [known[c] if c is chunk else known[c] + marks[chunk[-1]] for c, chunk in zip(cut, chunks, strict=True)]
+        cut = [m.groups("") if (m := _PARTS(c)) else (c,) for c in chunks] if self.model else [(c,) for c in chunks]
+        missing = list({p for c in cut for p in c if p not in known})
+        known.update(zip(missing, self._words(missing) if self.model else self._whole(missing), strict=True))
+        get = known.__getitem__
+        out = [b"".join(map(get, c)) for c in cut]
         if len(known) > 600_000:
             known.clear()
+            known[""] = b""
         return out
 
     def encode(self, texts: list[str]):

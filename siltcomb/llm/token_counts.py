@@ -76,9 +76,10 @@ class PrefixCounter:
         byte_of = byte_alphabet()
         raw = lambda s: bytes(byte_of[c] for c in s)
         special = {a["content"] for a in spec.get("added_tokens") or []}
-        vocab = {k: v for k, v in spec["model"]["vocab"].items() if k not in special}
-        self.id_of = {raw(k): v for k, v in vocab.items()}
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        made = {a + b for a, b in merges}  # an added token may be one that a merge makes too
+        vocab = {k: v for k, v in spec["model"]["vocab"].items() if k not in special or k in made or (len(k) == 1 and k in byte_of)}
+        self.id_of = {raw(k): v for k, v in vocab.items()}
         # tokens are renumbered by the merge that makes them, bytes first
         order = {self.id_of[bytes([b])]: b for b in range(256)}
         self.pair: dict[int, int] = {}
@@ -97,6 +98,8 @@ class PrefixCounter:
         self.split = regex.compile(PATTERN).findall
         self.blank = regex.compile(r"\s+").fullmatch
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
+        #: whether a special string may begin another: then its beginnings are not all plain text
+        self.nested = any(a != b and a in b for a in special for b in special)
         self.fits: dict[int, bool] = {}
         #: differences of the prefix counts of pre-tokens
         self.known: dict[str, bytes] = {}
@@ -197,8 +200,11 @@ class PrefixCounter:
         base = at = 0
         for m in self.special.finditer(text):
             plain = self.ordinary(text[at : m.start()])
-            cut = self.ordinary(text[at : m.end()])  # up to its last character a special string is plain text
-            out += [base + c for c in cut[:-1]]
+            if self.nested:
+                cut = [self.counts(text[at:k])[-1] for k in range(at + 1, m.end())]
+            else:
+                cut = self.ordinary(text[at : m.end()])[:-1]  # up to its last character a special string is plain text
+            out += [base + c for c in cut]
             base += (plain[-1] if plain else 0) + 1
             out.append(base)
             at = m.end()
@@ -213,9 +219,11 @@ class PrefixCounter:
         missing = {w for c in cut for w in c if w not in known}
         self.learn(missing)
         blank = self.blank
+        if special and not special.search("\n".join(chunks)):
+            special = None
         out = []
         for chunk, c in zip(chunks, cut, strict=True):
-            if len(c) < 3 and not (c and blank(c[0])) or not (special and special.search(chunk)) and not any(map(blank, c)):
+            if not (special and special.search(chunk)) and (len(c) < 3 and not (c and blank(c[0])) or not any(map(blank, c))):
                 out.append(b"".join([known[w] for w in c]))
             else:
                 counts = self.counts(chunk)

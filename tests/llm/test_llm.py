@@ -129,6 +129,27 @@ def test_prefix_counts():
         assert got == [len(c.tok.encode(t[:k], add_special_tokens=False)) for k in range(1, len(t) + 1)], t
 
 
+@pytest.mark.parametrize("added", [["Zqxv"], ["~^`"], ["@@", "<|endoftext|>"], ["ab", "abc", "<|x|>"], ["Zqxvb1", "\u00e9"]])
+def test_counts_with_added_tokens_of_any_length(tmp_path, added):
+    import json
+
+    from tokenizers import Tokenizer
+
+    spec = json.loads(open(JSON, encoding="utf-8").read())
+    top = max(spec["model"]["vocab"].values()) + 1
+    spec["added_tokens"] += [{"id": spec["model"]["vocab"].get(a, top + i), "content": a, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True} for i, a in enumerate(added) if a != "<|endoftext|>"]
+    path = str(tmp_path / "t.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    c, tok = token_counts.PrefixCounter(path), Tokenizer.from_file(path)
+    texts = ["Zqxv", "a ~^` b", "aZqxvb cd", "aZqxvb1 Zqxvb2", "@@ a@@@b", "abcab abd xabc", "x<|x|>ab <|x|", "caf\u00e9 \u00e9", *TEXTS[:60], "".join(added) * 3, " ".join(added), "a".join(added)]
+    e = token_files.Encoder(path, 4)
+    for t, ids in zip(texts, e.encode(texts), strict=True):
+        want = tok.encode(t, add_special_tokens=False).ids
+        assert np.cumsum(next(c.tables([t]))).tolist() == [len(tok.encode(t[:k], add_special_tokens=False)) for k in range(1, len(t) + 1)], t
+        assert np.frombuffer(ids, "<u4").tolist() == want, t
+
+
 def test_budgets(spark):
     df = docs(spark, [None, "", "the cat sat on the mat", "é" * 3], [1, 2, 3, None])
     got = {r["doc_id"]: r for r in token_counts.budgets(df, JSON, 3).collect()}

@@ -3,8 +3,9 @@
 A line's key is the line without white space at its ends and with A-Z in lower case. Lines become
 rows of hashes only: two 64-bit hashes of the key and two of the document. These are dealt out by
 ranges of (key, document) and sorted by position within, so the first occurrence of a key in a
-document is known as the rows stream by, and a key that a third of all lines bear spreads over as
-many ranges as it fills. Each range adds up its own keys before the sums meet. What comes back for a
+document is known as the rows stream by (the row before it is of another key or document), and a key
+that a third of all lines bear spreads over as many ranges as it fills. Each range adds up the first
+occurrences of its keys before the sums meet. What comes back for a
 document is its keep bitmap in run lengths, not its text.
 
 Frequent keys are broadcast while there are at most ``broadcast_rows`` of them; beyond that their
@@ -16,7 +17,7 @@ Null and empty texts are one empty line. Empty keys are never dropped. Documents
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltcomb.llm._runtime import narrowed, persisted
@@ -54,9 +55,8 @@ def keep_bitmaps(df: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col:
     k1, k2 = _two(F.col("key"))
     hashes = persisted(lines.select(k1.alias("k1"), k2.alias("k2"), "d1", "d2", "pos"), "lines")
 
-    ordered = hashes.repartitionByRange("k1", "k2", "d1", "d2").sortWithinPartitions("k1", "k2", "d1", "d2", "pos")
-    per_doc = ordered.groupBy("k1", "k2", "d1", "d2").agg(F.min("pos").alias("first"))
-    frequent = persisted(per_doc.groupBy("k1", "k2").agg(F.count("first").alias("n_docs")).where(F.col("n_docs") >= min_docs).select("k1", "k2"), "frequent")
+    firsts = first_occurrences(hashes)
+    frequent = persisted(firsts.groupBy("k1", "k2").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs).select("k1", "k2"), "frequent")
 
     if frequent.limit(broadcast_rows + 1).count() <= broadcast_rows:
         hit = hashes.join(F.broadcast(frequent), ["k1", "k2"])
@@ -69,6 +69,14 @@ def keep_bitmaps(df: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col:
     return dropped.select("d1", "d2", runs_between(F.col("gone")).alias("keep"), F.size("gone").alias("n_dropped"))
 
 
+def first_occurrences(hashes: DataFrame) -> DataFrame:
+    """(k1, k2) of each key's first occurrence in each document, of rows (k1, k2, d1, d2, pos)."""
+    ordered = hashes.repartitionByRange("k1", "k2", "d1", "d2").sortWithinPartitions("k1", "k2", "d1", "d2", "pos")
+    # the ranges and their order are the window's own: no further shuffle, and rows stream past with the one before in view
+    before = F.lag("pos").over(Window.partitionBy("k1", "k2", "d1", "d2").orderBy("pos"))
+    return ordered.withColumn("before", before).where("before is null").select("k1", "k2")
+
+
 def document_hashes(doc_id: Column, text: Column) -> list[Column]:
     return _two(doc_id, text)
 

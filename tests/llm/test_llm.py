@@ -185,6 +185,15 @@ def test_line_dedup(spark, broadcast, monkeypatch):
     assert "Python" not in bitmaps._jdf.queryExecution().executedPlan().toString()
 
 
+def test_first_occurrences_stream_in_order(spark):
+    rng = random.Random(12)
+    made = [(rng.randrange(4), 0, rng.randrange(6), 0, rng.randrange(9)) for _ in range(300)]
+    first = line_dedup.first_occurrences(spark.createDataFrame(made, "k1 long, k2 long, d1 long, d2 long, pos int"))
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == plan.count("Exchange") == plan.count("+- Sort [") == 1 and "Window [lag" in plan
+    assert rows(first) == sorted((k, 0) for k, d in {(k, d) for k, _, d, _, _ in made})
+
+
 def test_line_dedup_edges(spark):
     df = docs(spark, ["a\nb"] * 3, [1, 1, 1])  # rows that repeat each other are one document
     assert line_dedup.dedup_lines(df, 2).where("n_dropped > 0").count() == 0

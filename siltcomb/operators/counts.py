@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def by_month(entries: DataFrame, weight: str = "weight") -> DataFrame:
-    """(year, month, n) with a last row of nulls for the grand total."""
-    return entries.rollup(F.struct("year", "month").alias("ym")).agg(F.sum(weight).alias("n")).select("ym.year", "ym.month", "n")
+def by_month(entries: DataFrame, weight: str = "weight", year: str = "year", month: str = "month") -> DataFrame:
+    """(year, month, n, total) with a last row for the grand total; entries without a month have a row of their own."""
+    ym = F.struct(F.col(year).alias("year"), F.col(month).alias("month")).alias("ym")
+    counted = entries.rollup(ym).agg(F.sum(weight).alias("n"), (F.grouping_id() > 0).alias("total"))
+    return counted.select("ym.year", "ym.month", F.coalesce("n", F.lit(0)).alias("n"), "total")
 
 
 def by_community(entries: DataFrame) -> DataFrame:

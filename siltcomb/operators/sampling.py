@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from siltcomb.sources.store import stored
 
 SEED = 42
+#: Bytes of a sample's bitmap in one row.
+SLICE = 1 << 16
 
 
 def sample_size(share: float, count: int) -> int:
@@ -62,33 +64,51 @@ def bernoulli(df: DataFrame, share: float, keys: list[str], seed: int = SEED) ->
 
 def scan_points(share: float, counts: list[tuple[str, int]], seed: int = SEED) -> dict[str, list[int]]:
     """Compat: the line numbers that a sequential scan samples from each month; the last of a month is lost."""
-    rng, out = random.Random(seed), {}
-    for month, count in counts:
-        k = sample_size(share, count)
-        if not k:
-            raise IndexError(f"no sample points in {month}")
-        out[month] = sorted(rng.sample(range(count), k))[:-1]
-    return out
+    rng = random.Random(seed)
+    return {month: _points(rng, share, month, count) for month, count in counts}
+
 
+def _points(rng: random.Random, share: float, month: str, count: int) -> list[int]:
+    k = sample_size(share, count)
+    if not k:
+        raise IndexError(f"no sample points in {month}")
+    return sorted(rng.sample(range(count), k))[:-1]
 
-def at_points(df: DataFrame, points: dict[str, list[int]]) -> DataFrame:
-    """Rows whose (file_name, line_idx) is a point; the points are a share of the rows, so the planner picks the join."""
-    rows = [(m, i) for m, at in points.items() for i in at]
-    table = df.sparkSession.createDataFrame(rows, "file_name string, line_idx bigint")
-    return df.join(table, ["file_name", "line_idx"], "left_semi")
+
+def at_points(df: DataFrame, share: float, counts: list[tuple[str, int]], seed: int = SEED) -> DataFrame:
+    """Rows of ``df`` (file_name, line_idx) whose index is a point of :func:`scan_points`.
+
+    One generator runs through the months, so the points are drawn on the driver; a month's points go out as one bitmap
+    of a bit for each line (33 MB for the largest month of the corpus), and rows are looked up there.
+    """
+    spark = df.sparkSession
+    rng, maps = random.Random(seed), []
+    for month, count in counts:
+        points = _points(rng, share, month, count)
+        bits = bytearray(count // 8 + 1)
+        for i in points:
+            bits[i >> 3] |= 1 << (i & 7)
+        # in slices, so that no row of the small table is large
+        maps += [(month, at // SLICE, bytes(bits[at : at + SLICE])) for at in range(0, len(bits), SLICE)]
+    table = spark.createDataFrame(maps, "__m string, __s bigint, __bits binary")
+    byte = F.shiftright("line_idx", 3)
+    on = (F.col("file_name") == F.col("__m")) & (F.floor(byte / SLICE) == F.col("__s"))
+    value = F.conv(F.hex(F.substring("__bits", (byte % SLICE + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.bit_get(value, (F.col("line_idx") % 8).cast("int")) == 1
+    return df.join(table, on).where(hit).select(df.columns)
 
 
 def reservoir_slots(n: int, total: int, seed: int = SEED) -> list[int]:
-    """Compat: which of ``total`` matches, in scan order, end up in each slot of a reservoir of ``n``."""
-    rng = random.Random(seed)
-    slots: list[int] = []
-    for i in range(total):
-        if len(slots) < n:
-            slots.append(i)
-        else:
-            j = rng.randint(0, i)
-            if j < n:
-                slots[j] = i
+    """Compat: which of ``total`` matches, in scan order, end up in each slot of a reservoir of ``n``.
+
+    The sequential scan draws a number for every match behind the first ``n``, so repeating it takes as many draws, on the
+    driver (half a second a million); the memory is that of the reservoir. The documented sample, :func:`fixed_size`, has no such loop.
+    """
+    randint, slots = random.Random(seed).randint, list(range(min(n, total)))
+    for i in range(n, total):
+        j = randint(0, i)
+        if j < n:
+            slots[j] = i
     return slots
 
 

@@ -6,7 +6,7 @@ import json
 import re
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COLUMNS = ("type", "year", "month", "id", "text", "span", "matched", "subreddit", "score", "user", "flairtext", "timestamp_utc", "permalink")
@@ -53,8 +53,9 @@ def review_name(name: str) -> str:
     return f"{stem}_filtered-out_matches.{suffix}"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, sep=";", quote='"', escape='"', header=True, emptyValue="", nullValue="", mode="error")
+def write_csv(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    """``by`` are columns whose values get a folder each."""
+    df.write.partitionBy(*by).csv(path, sep=";", quote='"', escape='"', header=True, emptyValue="", nullValue="", mode="error")
 
 
 def write_jsonl(df: DataFrame, path: str, raw: str = "raw") -> None:
@@ -88,6 +89,18 @@ def consolidate(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
+def gather(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The result tables of all runs in a folder as one; review tables, statistics and raw entries are passed over. None if there are none."""
+    from siltcomb.sources.dumps import results
+    from siltcomb.sources.store import fs_and_path
+
+    fs, p = fs_and_path(spark, folder)
+    found = sorted((s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(p))
+    runs = [full for name, full in found if re.match(r"(comment|submissions)_extraction.*\.csv$", name) and "_filtered-out_matches" not in name]
+    tables = [results(spark, r) for r in runs]
+    return consolidate([t.select(*[c for c in COLUMNS if c in t.columns]) for t in tables]) if runs else None
+
+
 def month_in(name: str) -> tuple[int, int] | None:
     """The month in a file name."""
     m = re.search(r"(\d{4})-(\d{2})", name)

@@ -5,7 +5,11 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
+from pyspark.sql import SparkSession
+
 from siltcomb.functions import values
+from siltcomb.operators.sinks import month_label
+from siltcomb.plans.extract import extract, save
 from siltcomb.plans.spec import ExtractSpec
 
 #: option, short form, field, type (None: a switch), what it says
@@ -53,27 +57,45 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(*flags, dest=field, type=kind, required=name == "input", help=says)
     p.add_argument("--semantics", choices=("documented", "compat"), default="documented")
     p.add_argument("--kind", choices=("comments", "posts"))
+    p.add_argument("--codec", choices=("auto", "jvm", "python"), default="auto", help="what reads the dumps; told from their first bytes by default")
     return p
 
 
 def spec_of(argv: list[str] | None = None) -> ExtractSpec:
+    return parsed(argv)[0]
+
+
+def parsed(argv: list[str] | None = None) -> tuple[ExtractSpec, str]:
+    """The options of an extraction, checked, and what reads the dumps."""
     a = vars(parser().parse_args(argv))
-    return ExtractSpec(**(a | {"names": tuple(a["names"])})).validate()
+    codec = a.pop("codec")
+    return ExtractSpec(**(a | {"names": tuple(a["names"])})).validate(), codec
 
 
-def main(argv: list[str] | None = None) -> None:
-    from pyspark.sql import SparkSession
+def report(row) -> str:
+    """A line of the count log."""
+    if row["total"]:
+        return f"{row['n']} instances in total"
+    return f"{row['n']} instances" + (f" for {month_label((row['year'], row['month']))}" if row["year"] else " without a month")
 
-    from siltcomb.plans.extract import extract, save
 
-    spec = spec_of(argv)
-    spark = SparkSession.builder.appName("siltcomb").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    x = extract(spark, spec)
+def run(spark: SparkSession, argv: list[str] | None = None, at: datetime | None = None) -> list[str]:
+    """What the command line does, but for starting Spark; the lines that it prints."""
+    spec, codec = parsed(argv)
+    x = extract(spark, spec, codec=codec)
+    said = []
     if spec.count:
-        for r in x.counts.orderBy("year", "month", "n").toLocalIterator():
-            print(f"{r['n'] or 0} instances" + (f" for {r['year']}-{r['month']:02d}" if r["year"] else " in total"))
-    for path in save(x, datetime.now()):
-        print(path)
+        # a row for each month
+        said += [report(r) for r in x.counts.orderBy("total", "year", "month").collect()]
+    lost = {r["file_name"]: r["n"] for r in x.malformed.collect()} if x.malformed is not None else {}  # a row for each file
+    said += [f"{n} lines of {f} are not JSON objects and were left out" for f, n in sorted(lost.items())]
+    return said + save(x, at)
+
+
+def main(argv: list[str] | None = None) -> None:
+    spark = SparkSession.builder.appName("siltcomb").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    for line in run(spark, argv, datetime.now()):
+        print(line)
 
 
 if __name__ == "__main__":

@@ -1,25 +1,32 @@
-"""From a table of entries to results, review, counts and statistics, all of them lazy."""
+"""From a table of entries to results, review, counts and statistics, all of them lazy.
+
+:func:`save` works the relevant entries out once, stores them in the shared folder and derives every file from there.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltcomb.functions import entries as E
-from siltcomb.functions.matching import has_match, span_text, spans, unquoted
+from siltcomb.functions.matching import has_match, once, span_text, spans, unquoted_spans
 from siltcomb.functions.regex import checked, let_quotes_lead
 from siltcomb.operators import counts, predicates, sampling, sinks
 from siltcomb.operators.dedup import drop_duplicates
 from siltcomb.plans.spec import ExtractSpec
 from siltcomb.sources import dumps
+from siltcomb.sources.store import remove, stored
 
 
 @dataclass(frozen=True)
 class Extraction:
-    """results and review have the output columns; entries are the relevant ones; matches has one row for each match."""
+    """results and review have the output columns; entries are the relevant ones; matches has one row for each match.
+
+    malformed counts the lines of each file that were left out, where the entries come from dumps.
+    """
 
     spec: ExtractSpec
     entries: DataFrame
@@ -28,6 +35,7 @@ class Extraction:
     review: DataFrame
     stats: DataFrame
     counts: DataFrame
+    malformed: DataFrame | None = None
 
     @property
     def raw_results(self) -> DataFrame:
@@ -64,13 +72,12 @@ def relevant(df: DataFrame, spec: ExtractSpec, tagger: Callable | None = None) -
         t = t.where(has_match(c, p))
     if spec.span_regex:
         p = pattern(spec.span_regex)
-        t = t.withColumn("spans", spans(column, p))
-        if not spec.include_quoted:
-            t = t.withColumn("spans", unquoted(column, F.col("spans"), spec.semantics))
+        # behind a generator, the filter on its size doesn't have the spans worked out twice
+        t = once(t, "spans", spans(column, p) if spec.include_quoted else unquoted_spans(column, p, spec.semantics))
         if spec.active_regex == spec.span_regex:
             t = t.where(F.size("spans") > 0)
     elif body and not spec.include_quoted:
-        t = t.where(F.size(unquoted(column, spans(column, body), spec.semantics)) > 0)
+        t = t.where(F.size(unquoted_spans(column, body, spec.semantics)) > 0)
     if spec.pos:
         t = predicates.tagged(t, text, *spec.pos, tagger or predicates.spacy_tagger(spec.language))
     return t
@@ -79,16 +86,21 @@ def relevant(df: DataFrame, spec: ExtractSpec, tagger: Callable | None = None) -
 def plan(df: DataFrame, spec: ExtractSpec, tagger: Callable | None = None) -> Extraction:
     """The tables of an extraction from ``df``, entries with a ``raw`` column of JSON."""
     spec.validate()
-    text = dumps.text_column(spec.table)
+    # of copies, the first in the order of the dumps stays where that order is known
+    order = [c for c in ("file_name", "line_idx" if "line_idx" in df.columns else "block_start") if c in df.columns]
+    t = drop_duplicates(relevant(df, spec, tagger), order=order or None)
     if spec.sample is not None and spec.semantics == "documented":
-        t = sampling.bernoulli(drop_duplicates(relevant(df, spec, tagger)), spec.sample, ["raw"])
-    else:
-        t = drop_duplicates(relevant(df, spec, tagger))
+        t = sampling.bernoulli(t, spec.sample, ["raw"])
     year, month = E.year_month(F.col("created_utc"))
     t = t.withColumn("year", year).withColumn("month", month)
     one_each = not spec.span_regex or spec.first_match
-    weight = F.lit(1).cast("bigint") if one_each else F.size("spans").cast("bigint")
-    t = t.withColumn("weight", weight)
+    t = t.withColumn("weight", F.lit(1).cast("bigint") if one_each else F.size("spans").cast("bigint"))
+    return derived(t, spec)
+
+
+def derived(t: DataFrame, spec: ExtractSpec) -> Extraction:
+    """The tables of an extraction from its relevant entries."""
+    text = dumps.text_column(spec.table)
     reason = E.filter_reason(F.col(text), spec.popularity) if spec.soft_filter and spec.semantics == "documented" else F.lit(None).cast("string")
 
     if not spec.span_regex:
@@ -99,7 +111,8 @@ def plan(df: DataFrame, spec: ExtractSpec, tagger: Callable | None = None) -> Ex
         m = t.select("*", F.posexplode("spans").alias("match_index", "m"))
     if spec.reservoir is not None:
         if spec.semantics == "compat":
-            m = sampling.reservoir_scan(m, spec.reservoir, ["file_name", "block_start", "id", "match_index"])
+            scan_order = ["file_name", "line_idx"] if "line_idx" in m.columns else ["file_name", "block_start", "id"]
+            m = sampling.reservoir_scan(m, spec.reservoir, [*scan_order, "match_index"])
         else:
             m = sampling.fixed_size(m, spec.reservoir, ["id", "match_index"])
     m = m.withColumn("filter_reason", reason)
@@ -124,38 +137,54 @@ def plan(df: DataFrame, spec: ExtractSpec, tagger: Callable | None = None) -> Ex
     with_spans = bool(spec.span_regex)
     kept = rows.where(F.col("filter reason").isNull()).select(*sinks.columns(with_spans))
     review = rows.where(F.col("filter reason").isNotNull()).select(*sinks.columns(with_spans, review=True))
-    return Extraction(spec, t, m, kept, review, counts.by_community(t), counts.by_month(t))
+    return Extraction(spec, t, m, kept, review, counts.by_community(t), counted(t))
+
 
+def counted(t: DataFrame) -> DataFrame:
+    """Matches by the month of the dump, as a scan of one file after another counts them; without dumps, by the month of creation."""
+    if "file_name" not in t.columns:
+        return counts.by_month(t)
+    year, month = dumps.file_date(F.col("file_name"))
+    return counts.by_month(t.withColumn("__year", year).withColumn("__month", month), year="__year", month="__month")
 
-def extract(spark: SparkSession, spec: ExtractSpec, tagger: Callable | None = None, codec: str = "jvm") -> Extraction:
+
+def extract(spark: SparkSession, spec: ExtractSpec, tagger: Callable | None = None, codec: str = "auto") -> Extraction:
     """An extraction from a folder of dumps."""
     spec.validate()
-    df = dumps.scan(spark, spec.input, spec.table, spec.time_from, spec.time_to, codec)
+    lines = dumps.lines(spark, spec.input, spec.time_from, spec.time_to, codec)
+    df = dumps.parsed(lines, spec.table)
+    if spec.semantics == "compat" and (spec.sample is not None or spec.reservoir is not None):
+        df = dumps.line_index(df)
     if spec.sample is not None and spec.semantics == "compat":
-        indexed = dumps.line_index(df)
-        per_month = [(r["file_name"], r["n"]) for r in df.groupBy("file_name").agg(F.count("*").alias("n")).orderBy("file_name").collect()]
-        df = sampling.at_points(indexed, sampling.scan_points(spec.sample, per_month)).select(df.columns)
-    return plan(df, spec, tagger)
+        per_month = [(r["file_name"], r["n"]) for r in df.groupBy("file_name").agg(F.count("*").alias("n")).orderBy("file_name").collect()]  # a row for each file
+        df = sampling.at_points(df, spec.sample, per_month)
+    return replace(plan(df, spec, tagger), malformed=dumps.malformed(lines))
 
 
 def save(x: Extraction, at=None) -> list[str]:
-    """Write what the options ask for; the paths written."""
+    """Write what the options ask for; the paths written. Dumps are read once: all files come from the stored entries."""
     spec = x.spec
-    out, name = [], sinks.name_of(spec, at=at)
+    name = sinks.name_of(spec, at=at)
+    out: list[str] = []
     base = f"{spec.output.rstrip('/')}/" if spec.output else ""
-    if spec.count:
-        return out
-    if spec.return_all:
-        sinks.write_jsonl(x.raw_results, base + name)
-    else:
-        order = ["year", "month", "id"]
-        results = x.results.orderBy(*[F.desc(c) for c in order]) if spec.reverse_order else x.results
-        sinks.write_csv(results, base + name)
-    out.append(base + name)
-    review = x.matches.where("filter_reason is not null and match_index = 0") if spec.return_all else x.review
-    if spec.soft_filter and sinks.write_review(review, base + sinks.review_name(name), spec.return_all):
-        out.append(base + sinks.review_name(name))
-    if spec.stats:
+    entries = stored(x.entries, "entries")
+    x = derived(entries, spec)
+    if not spec.count:
+        if spec.return_all:
+            sinks.write_jsonl(x.raw_results, base + name)
+        else:
+            order = ["year", "month", "id"]
+            results = x.results.orderBy(*[F.desc(c) for c in order]) if spec.reverse_order else x.results
+            apart = () if spec.cleanup else ("dump_month",)
+            if apart:  # a folder for each month
+                results = results.withColumn("dump_month", F.format_string("%04d-%02d", "year", "month"))
+            sinks.write_csv(results, base + name, apart)
+        out.append(base + name)
+        review = x.matches.where("filter_reason is not null and match_index = 0") if spec.return_all else x.review
+        if spec.soft_filter and sinks.write_review(review, base + sinks.review_name(name), spec.return_all):
+            out.append(base + sinks.review_name(name))
+    if spec.stats and base:
         sinks.write_stats(x.stats, f"{base}{name.rpartition('.')[0]}_search_stats.json")
         out.append(f"{base}{name.rpartition('.')[0]}_search_stats.json")
+    remove(entries)
     return out

@@ -7,16 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltcomb.functions import entries as E
-from siltcomb.functions.matching import has_match, inside_quote, span_text, spans, unquoted
+from siltcomb.functions.matching import has_match, inside_quote, once, register, span_text, spans, unquoted_spans
 from siltcomb.functions.regex import checked, let_quotes_lead
 from siltcomb.operators import counts, dedup, predicates, sampling, sinks
-from siltcomb.plans.extract import plan
+from siltcomb.plans.extract import extract, plan, save
 from siltcomb.plans.spec import ExtractSpec
-from siltcomb.sources.store import shared_dir
+from siltcomb.sources import dumps
+from siltcomb.sources.store import put, put_text, shared_dir
 
 COMMENTS = """
 SELECT concat('c', CAST(conv_id AS STRING), '_', CAST(turn AS STRING)) AS id,
@@ -111,8 +112,8 @@ def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, text = checked(WORD), F.col("text")
-    t = table(spark, sf_dir, "documents").where(has_match(text, p))
-    return t.select("doc_id", F.regexp_count(text, F.lit(p.jvm)).cast("bigint").alias("n_matches"))
+    t = once(table(spark, sf_dir, "documents").where(has_match(text, p)).select("doc_id", "text"), "found", spans(text, p))
+    return t.select("doc_id", F.size("found").cast("bigint").alias("n_matches"))
 
 
 def body_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,8 +133,6 @@ def python_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table function ``match_spans`` in a lateral join."""
-    from siltcomb.functions.matching import register
-
     register(spark)
     t = table(spark, sf_dir, "benchmark")
     return spark.sql(f"SELECT item_id, s.match_index, s.span_start, s.span_end, s.matched FROM {{t}}, LATERAL match_spans(text, '{WORD}', false) s", t=t)
@@ -145,11 +144,14 @@ def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def canonical_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Objects that differ in key order alone are one: each comment twice, keys turned round in one."""
+    """Objects that differ in key order alone are one, others stay apart: each comment, its keys turned round, its score as a string, one more key."""
     t = comments(spark, sf_dir)
     turned = t.withColumn("raw", F.to_json(F.struct(*[c for c in reversed(t.columns) if c not in ("raw", "created_utc")], F.col("created_utc").cast("bigint").alias("created_utc"))))
-    both = t.select("id", "raw").union(turned.select("id", "raw"))
-    return dedup.drop_duplicates(both).groupBy("id").agg(F.count("*").alias("n"))
+    others = [F.regexp_replace("raw", r'"score":(-?\d+)', r'"score":"$1"'), F.regexp_replace("raw", r"\}$", ',"more":null}')]
+    every = t.select("id", "raw").union(turned.select("id", "raw"))
+    for raw in others:
+        every = every.union(t.select("id", raw.alias("raw")))
+    return dedup.drop_duplicates(every).groupBy("id").agg(F.count("*").alias("n"))
 
 
 # comments and posts
@@ -168,7 +170,7 @@ def include_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unquoted_matches_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, body = checked(WORD), F.col("body")
-    m = comments(spark, sf_dir).select("id", F.explode(unquoted(body, spans(body, p), "compat")).alias("m"))
+    m = comments(spark, sf_dir).select("id", F.explode(unquoted_spans(body, p, "compat")).alias("m"))
     return m.select("id", F.col("m.start").alias("span_start"), F.col("m.end").alias("span_end"), "m.matched")
 
 
@@ -220,11 +222,187 @@ def post_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.matches.select("id", F.col("m.start").alias("span_start"), F.col("m.matched").alias("matched"))
 
 
+# dumps: the comments as months of different codecs, a few conversations in those that only Python reads or writes
+
+#: (file, condition, how it is written)
+FILES = (
+    ("RC_2010-01.xz", "conv < 20", "xz"),
+    ("RC_2010-02.zst", "conv BETWEEN 20 AND 39", "long"),
+    ("RC_2010-03.zst", "conv BETWEEN 40 AND 49", "zst"),
+    ("RC_2010-04", "conv >= 50 AND conv % 3 = 0", "none"),
+    ("RC_2010-05.gz", "conv >= 50 AND conv % 3 = 1", "gzip"),
+    ("RC_2010-06.bz2", "conv >= 50 AND conv % 3 = 2", "bzip2"),
+)
+#: Conversations with a line that is no JSON ahead of their first turn.
+BAD = "conv % 7 = 0 AND turn = 0"
+_dumps: dict[tuple[str, str], str] = {}
+
+
+def dump_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The comments as dumps in the shared folder, written once a session. A month is one file, so one task writes it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _dumps:
+        return _dumps[key]
+    import lzma
+    import uuid
+
+    import zstandard
+
+    folder = f"{shared_dir(spark)}/siltcomb-dumps-{uuid.uuid4().hex}/comments"
+    t = comments(spark, sf_dir).select("raw", *_conv_turn(F.col("id")))
+    t = t.select("conv", "turn", F.explode(F.when(F.expr(BAD), F.array(F.lit('{"id": "cut off'), F.col("raw"))).otherwise(F.array("raw"))).alias("value"))
+    long = zstandard.ZstdCompressionParameters.from_level(3, window_log=28, write_content_size=0)
+    by_hand = {"xz": lzma.compress, "long": zstandard.ZstdCompressor(compression_params=long).compressobj, "zst": zstandard.ZstdCompressor().compress}
+    for name, condition, how in FILES:
+        some = t.where(condition)
+        if how in by_hand:  # at most 20 conversations
+            data = "".join(f"{r['value']}\n" for r in some.orderBy("conv", "turn", F.length("value")).collect()).encode()
+            if how == "long":
+                c = by_hand[how]()
+                data = c.compress(data) + c.flush()
+            else:
+                data = by_hand[how](data)
+            put(spark, f"{folder}/{name}", data)
+        else:
+            put_text(some.coalesce(1).sortWithinPartitions("conv", "turn", F.length("value")).select("value"), f"{folder}/{name}", how)
+    _dumps[key] = folder
+    return folder
+
+
+def _conv_turn(id_: Column) -> list[Column]:
+    parts = F.split(F.substring(id_, 2, 60), "_")
+    return [parts[i].cast("bigint").alias(n) for i, n in enumerate(("conv", "turn"))]
+
+
+def _out(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    return f"{shared_dir(spark)}/siltcomb-{name}-{uuid.uuid4().hex}"
+
+
+def dump_spec(folder: str, **options) -> ExtractSpec:
+    return ExtractSpec(**({"input": folder, "output": "-", "body_regex": WORD} | options)).validate()
+
+
+def dump_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of all months, whatever their codec."""
+    return dumps.scan(spark, dump_folder(spark, sf_dir)).select("id", "author", "score", "file_name")
+
+
 def timeframe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a range of months, both included."""
-    t = table(spark, sf_dir, "orders").where((F.col("o_orderdate") >= "1996-03-01") & (F.col("o_orderdate") < "1997-03-01"))
-    y, m = F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
-    return t.groupBy(y, m).agg(F.count("*").alias("n"))
+    """Entries of the files in a range of months, both ends included."""
+    t = dumps.scan(spark, dump_folder(spark, sf_dir), first=(2010, 2), last=(2010, 4))
+    return t.groupBy("file_name").agg(F.count("*").alias("n"))
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are not JSON objects, by file, as an extraction counts them."""
+    return extract(spark, dump_spec(dump_folder(spark, sf_dir))).malformed
+
+
+def line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position of each entry among the entries of its file."""
+    return dumps.line_index(dumps.scan(spark, dump_folder(spark, sf_dir))).select("file_name", "line_idx", "id")
+
+
+def sample_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries that a sequential scan samples from each month."""
+    x = extract(spark, dump_spec(dump_folder(spark, sf_dir), source="user", names=("user_1", "user_2", "assistant_1"), body_regex=None, sample=0.5, semantics="compat"))
+    return x.entries.select("file_name", "line_idx", "id")
+
+
+def dump_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches by the month of the dump, and in total."""
+    return extract(spark, dump_spec(dump_folder(spark, sf_dir), count=True, output=None)).counts
+
+
+def saved_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an extraction writes as CSV, read back."""
+    paths = save(extract(spark, dump_spec(dump_folder(spark, sf_dir), output=_out(spark, "saved"), popularity=0, toplevel=True, stats=False)))
+    return dumps.results(spark, paths[0])
+
+
+def saved_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = save(extract(spark, dump_spec(dump_folder(spark, sf_dir), output=_out(spark, "saved"), popularity=0, first_match=True)))
+    return dumps.results(spark, next(p for p in paths if "filtered-out" in p)).select("id", F.col("filter reason").alias("reason"))
+
+
+def saved_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole entries as JSON lines, once each."""
+    paths = save(extract(spark, dump_spec(dump_folder(spark, sf_dir), output=_out(spark, "saved"), return_all=True, soft_filter=False, stats=False)))
+    return spark.read.schema("id string, author string, score bigint, body string").json(paths[0])
+
+
+def saved_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = save(extract(spark, dump_spec(dump_folder(spark, sf_dir), output=_out(spark, "saved"), count=True)))
+    return spark.read.text(paths[0]).select(F.explode(F.from_json("value", "map<string, bigint>")).alias("subreddit", "n"))
+
+
+def saved_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results left apart by month."""
+    paths = save(extract(spark, dump_spec(dump_folder(spark, sf_dir), output=_out(spark, "saved"), soft_filter=False, stats=False, cleanup=False, reverse_order=True)))
+    return dumps.results(spark, paths[0]).groupBy(F.date_format("dump_month", "yyyy-MM").alias("dump_month")).agg(F.count("*").alias("n"))
+
+
+def gathered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results of all runs that one folder holds."""
+    out = _out(spark, "runs")
+    for name in ("Sub4", "Sub5"):
+        save(extract(spark, dump_spec(dump_folder(spark, sf_dir), output=out, source="subreddit", names=(name,), body_regex=None, popularity=0)))
+    return sinks.gather(spark, out).select("type", "id", "subreddit", "user")
+
+
+def month_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dumps.months(spark, dump_folder(spark, sf_dir))
+
+
+def month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (a, b), (c, d) = dumps.month_range(spark, dump_folder(spark, sf_dir))
+    return spark.createDataFrame([(a, b, c, d)], "first_year int, first_month int, last_year int, last_month int")
+
+
+def monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of counts by month, written with a header and read back."""
+    out = _out(spark, "monthly")
+    day = F.col("o_orderdate")
+    t = table(spark, sf_dir, "orders").groupBy(F.year(day).alias("year"), F.month(day).alias("month")).agg(F.count("*").alias("count"))
+    t.write.csv(out, sep="\t", header=True)
+    return dumps.monthly_counts(spark, out)
+
+
+def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumps rewritten as Parquet by month."""
+    out = _out(spark, "parquet")
+    dumps.ingest(spark, dump_folder(spark, sf_dir), out)
+    return spark.read.parquet(out).groupBy("year", "month").agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"))
+
+
+def command_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the command line says when it counts."""
+    from siltcomb.plans import cli
+
+    said = cli.run(spark, ["--input", dump_folder(spark, sf_dir), "--commentregex", WORD, "--count", "-F", "2010-02", "-T", "2010-05", "--no-stats"])
+    return spark.createDataFrame([(x,) for x in said], "line string")
+
+
+def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumps as a stream without repetitions: each file of the JVM's codecs, and a copy of one."""
+    from siltcomb.streaming import live
+
+    folder = _out(spark, "arrivals")
+    t = comments(spark, sf_dir).select("raw", *_conv_turn(F.col("id")))
+    for name in ("RC_2010-01.gz", "RC_2010-02"):
+        put_text(t.coalesce(1).select("raw"), f"{folder}/{name}", "gzip" if name.endswith("gz") else "none")
+    s = live.unique(live.entries(spark, folder, "comments"), "36500 days").select("id", "score")
+    return live.drained(s, _out(spark, "stream"))
+
+
+def sql_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL functions of extractions."""
+    register(spark)
+    return spark.sql(
+        "SELECT id, filter_reason(body, author, score, 0) AS reason, entry_permalink(permalink, subreddit, link_id, id) AS permalink, inside_quote(body, length(body)) AS quoted FROM {t}", t=comments(spark, sf_dir)
+    )
 
 
 def soft_filter_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,11 +416,11 @@ def soft_filter_review(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan(comments(spark, sf_dir), spec(body_regex=WORD, count=True)).counts.where("year is not null")
+    return plan(comments(spark, sf_dir), spec(body_regex=WORD, count=True)).counts.where("not total").select("year", "month", "n")
 
 
 def count_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan(comments(spark, sf_dir), spec(body_regex=WORD, count=True)).counts.where("year is null").select("n")
+    return plan(comments(spark, sf_dir), spec(body_regex=WORD, count=True)).counts.where("total").select("n")
 
 
 def subreddit_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,8 +490,6 @@ def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by day and type, counted by a stream that ends with its input."""
-    import uuid
-
     from siltcomb.streaming import live
 
     path = f"{sf_dir}/events.parquet"
@@ -321,8 +497,7 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _, name = path.rpartition("/")
     source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path) if _is_dir(spark, path) else spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
     made = live.counts(source.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 day", ["event_type"])
-    run = uuid.uuid4().hex
-    return live.drained(made, f"stream_{run}", f"{shared_dir(spark)}/stream-{run}").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    return live.drained(made, _out(spark, "stream"), ["start", "event_type"]).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
 def _is_dir(spark: SparkSession, path: str) -> bool:
@@ -338,13 +513,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         source_names_user, source_names_subreddit, source_names_many, toplevel, flair_regex, user_regex, title_regex, post_regex,
         timeframe, soft_filter_results, soft_filter_review, count_by_month, count_total, subreddit_stats, running_stats, permalink,
         full_projection, first_match_rows, reservoir_hash, sample_proportional, sample_bernoulli, reservoir_scan, pos_search,
-        return_all, return_all_compat, consolidated, stream_counts,
+        return_all, return_all_compat, consolidated, stream_counts, dump_scan, malformed_lines, line_index, sample_line_index, dump_counts,
+        saved_results, saved_review, saved_entries, saved_stats, saved_by_month, gathered, month_discovery, month_range, monthly_counts,
+        ingested, command_line, stream_unique, sql_entries,
     )
 }
 
 _DOC_SPANS = "WITH " + sql_spans("documents", "doc_id", "text")
 _SPANS = ", " + sql_spans("comments_v", "id", "body", "body, author, author_flair_text, subreddit, score, created_utc, link_id, parent_id, permalink")
 _FREE = f"q AS (SELECT * FROM s WHERE NOT {QUOTE_SQL})"
+_CONV, _TURN = (f"CAST(split_part(substr(id, 2), '_', {i}) AS BIGINT)" for i in (1, 2))
+_FILE = "CASE " + " ".join(f"WHEN {c.replace('conv', _CONV)} THEN '{n}'" for n, c, _ in FILES) + " END"
+_IN_FILES = sql_comments(f", f AS (SELECT *, {_FILE} AS file_name, {_CONV} AS conv, {_TURN} AS turn FROM comments_v)")
+_FILE_MONTH = ", ".join(f"CAST(substr({_FILE}, {a}, {n}) AS INTEGER) AS {name}" for a, n, name in ((4, 4, "year"), (9, 2, "month")))
+_PROJECTED = (
+    f"SELECT 'comment' AS type, CAST({YEAR_SQL} AS VARCHAR) AS year, CAST({MONTH_SQL} AS VARCHAR) AS month, id, body AS text, '(' || span_start || ', ' || span_end || ')' AS span, matched, "
+    f"subreddit, CAST(score AS VARCHAR) AS score, author AS \"user\", author_flair_text AS flairtext, CAST(created_utc AS VARCHAR) AS timestamp_utc, {LINK_SQL} AS permalink FROM q WHERE parent_id LIKE 't3%' AND {REASON_SQL} IS NULL"
+)
 _CONVERSATIONS = "id, span_start, span_end, matched"
 
 ORACLE_SQL: dict[str, str] = {
@@ -356,7 +541,7 @@ ORACLE_SQL: dict[str, str] = {
     "python_regex": "SELECT doc_id, CAST(len(regexp_extract_all(text, '(?:[0-9]{3})+')) AS BIGINT) AS n_groups FROM documents WHERE regexp_matches(text, '[0-9]{3}')",
     "sql_function": "WITH " + sql_spans("benchmark", "item_id", "text") + " SELECT item_id, match_index, span_start, span_end, matched FROM s",
     "dedup_exact": "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY md5(text), lang, source",
-    "canonical_duplicates": sql_comments("SELECT id, CAST(1 AS BIGINT) AS n FROM comments_v"),
+    "canonical_duplicates": sql_comments("SELECT id, CAST(3 AS BIGINT) AS n FROM comments_v"),
     "unquoted_matches": sql_comments(f"{_SPANS}, {_FREE} SELECT {_CONVERSATIONS} FROM q"),
     "include_quoted": sql_comments(f"{_SPANS} SELECT {_CONVERSATIONS} FROM s"),
     "unquoted_matches_compat": sql_comments(f"{_SPANS} SELECT {_CONVERSATIONS} FROM s WHERE NOT regexp_matches(substr(body, 1, span_end), '^&gt;[^\\n]+\\n?$')"),
@@ -370,7 +555,30 @@ ORACLE_SQL: dict[str, str] = {
     "user_regex": sql_comments("SELECT id, author FROM comments_v WHERE regexp_matches(author, '(?i)^user_[0-2]$')"),
     "title_regex": sql_posts(f"SELECT id FROM posts_v WHERE regexp_matches(title, '(?i)[aeiou]{{2}}') AND NOT {BOT_SQL.replace('body', 'selftext')}"),
     "post_regex": sql_posts(", " + sql_spans("posts_v", "id", "selftext", "selftext") + f" SELECT id, span_start, matched FROM s WHERE NOT {QUOTE_SQL.replace('body', 'selftext')}"),
-    "timeframe": "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1997-03-01' GROUP BY 1, 2",
+    "timeframe": f"{_IN_FILES} SELECT file_name, count(*) AS n FROM f WHERE substr(file_name, 4, 7) BETWEEN '2010-02' AND '2010-04' GROUP BY 1",
+    "dump_scan": f"{_IN_FILES} SELECT id, author, score, file_name FROM f",
+    "malformed_lines": f"{_IN_FILES} SELECT file_name, count(*) AS n FROM f WHERE {BAD} GROUP BY 1",
+    "line_index": f"{_IN_FILES} SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY conv, turn) - 1 AS line_idx, id FROM f",
+    "dump_counts": sql_comments(f"{_SPANS}, {_FREE}, g AS (SELECT {_FILE_MONTH} FROM q) SELECT year, month, count(*) AS n, false AS total FROM g GROUP BY 1, 2 UNION ALL SELECT NULL, NULL, count(*), true FROM g"),
+    "saved_results": sql_comments(f"{_SPANS}, {_FREE} {_PROJECTED}"),
+    "saved_review": sql_comments(f"{_SPANS}, {_FREE} SELECT DISTINCT id, {REASON_SQL} AS reason FROM q WHERE {REASON_SQL} IS NOT NULL"),
+    "saved_entries": sql_comments(f"{_SPANS}, {_FREE} SELECT DISTINCT id, author, score, body FROM q"),
+    "saved_stats": sql_comments(f"{_SPANS}, {_FREE} SELECT subreddit, count(DISTINCT id) AS n FROM q GROUP BY 1"),
+    "saved_by_month": sql_comments(f"{_SPANS}, {_FREE} SELECT strftime(make_timestamp(created_utc * 1000000), '%Y-%m') AS dump_month, count(*) AS n FROM q GROUP BY 1"),
+    "gathered": sql_comments(f"SELECT 'comment' AS type, id, subreddit, author AS \"user\" FROM comments_v WHERE subreddit IN ('Sub4', 'Sub5') AND {REASON_SQL} IS NULL"),
+    "month_discovery": "SELECT * FROM (VALUES " + ", ".join(f"(CAST(2010 AS INTEGER), CAST({i} AS INTEGER), '{n}')" for i, (n, _, _) in enumerate(FILES, 1)) + ") v(year, month, file_name)",
+    "month_range": "SELECT CAST(2010 AS INTEGER) AS first_year, CAST(1 AS INTEGER) AS first_month, CAST(2010 AS INTEGER) AS last_year, CAST(6 AS INTEGER) AS last_month",
+    "monthly_counts": "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n FROM orders GROUP BY 1, 2",
+    "ingested": f"{_IN_FILES} SELECT CAST(substr(file_name, 4, 4) AS INTEGER) AS year, CAST(substr(file_name, 9, 2) AS INTEGER) AS month, count(*) AS n, count(DISTINCT id) AS n_ids FROM f GROUP BY 1, 2",
+    "command_line": sql_comments(
+        f"{_SPANS}, {_FREE}, g AS (SELECT {_FILE_MONTH} FROM q), r AS (SELECT * FROM g WHERE month BETWEEN 2 AND 5), b AS (SELECT {_FILE} AS file_name, {_CONV} AS conv, {_TURN} AS turn FROM comments_v) "
+        "SELECT count(*) || ' instances for ' || strftime(make_date(year, month, 1), '%B %Y') AS line FROM r GROUP BY year, month UNION ALL SELECT count(*) || ' instances in total' FROM r "
+        f"UNION ALL SELECT count(*) || ' lines of ' || file_name || ' are not JSON objects and were left out' FROM b WHERE {BAD} AND substr(file_name, 4, 7) BETWEEN '2010-02' AND '2010-05' GROUP BY file_name"
+    ),
+    "stream_unique": sql_comments("SELECT id, score FROM comments_v"),
+    "sql_entries": sql_comments(
+        f"SELECT id, {REASON_SQL} AS reason, {LINK_SQL} AS permalink, regexp_matches(regexp_extract(regexp_replace(body, '\\n+$', ''), '[^\\n]*$'), '^[ \\t]*(?:&gt;|>)') AS quoted FROM comments_v"
+    ),
     "soft_filter_results": sql_comments(f"SELECT id, score FROM comments_v WHERE subreddit IN ('Sub1', 'Sub2', 'Sub3') AND {REASON_SQL} IS NULL"),
     "soft_filter_review": sql_comments(f"SELECT id, {REASON_SQL} AS reason FROM comments_v WHERE subreddit IN ('Sub1', 'Sub2', 'Sub3') AND {REASON_SQL} IS NOT NULL"),
     "count_by_month": sql_comments(f"{_SPANS}, {_FREE} SELECT {YEAR_SQL} AS year, {MONTH_SQL} AS month, count(*) AS n FROM q GROUP BY 1, 2"),

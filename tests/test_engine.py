@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltcomb.functions import entries as E
-from siltcomb.functions.matching import has_match, inside_quote, span_text, spans
+from siltcomb.functions.matching import has_match, inside_quote, span_text, spans, unquoted_spans
 from siltcomb.functions.regex import checked
 from siltcomb.operators import counts, dedup, predicates, sampling, sinks
 from siltcomb.plans.extract import extract, plan, save
@@ -134,7 +134,8 @@ def test_extraction(spark, dump):
     assert got == sorted([("c1", "(0, 4)", "they"), ("c1", "(9, 13)", "They")] * 2 + [(f"c{i}", "(0, 4)", "they") for i in (6, 7, 8, 10, 11, 12)])
     assert sorted((r["id"], r["filter reason"]) for r in x.review.collect()) == [("c3", "non-human generated"), ("c4", "score below defined threshold"), ("c5", "score below defined threshold")]
     assert [tuple(r) for r in x.stats.collect()] == [("Sub", 11)]
-    assert {(r["year"], r["month"]): r["n"] for r in x.counts.collect()} == {(2010, 1): 12, (2010, 2): 1, (None, None): 13}
+    assert {(r["year"], r["month"]): r["n"] for r in x.counts.collect()} == {(2010, 1): 9, (2010, 2): 3, (2010, 3): 1, (None, None): 13}
+    assert [tuple(r) for r in x.malformed.collect()] == [("RC_2010-01", 3)]
     links = {r["id"]: r["permalink"] for r in rows}
     assert links["c6"] == "https://www.reddit.com/r/Sub/x/"
     assert links["c7"] == "https://www.reddit.com/r/Sub/comments/p//c7"
@@ -182,6 +183,25 @@ def test_samples(spark, dump):
     assert sampling.proportional(ids, 0.1, ["id"], ["g"]).groupBy("g").count().where("count = 50").count() == 2
     slots = sampling.reservoir_scan(ids, 7, ["id"]).select("slot", "id").collect()
     assert [r["id"] for r in slots] == sampling.reservoir_slots(7, 1000)
+    many = spark.range(700_000).select((F.col("id") % 2).cast("string").alias("file_name"), F.floor(F.col("id") / 2).alias("line_idx"))
+    per = [("0", 350_000), ("1", 350_000)]
+    points = sampling.scan_points(0.001, per)
+    assert sorted(map(tuple, sampling.at_points(many, 0.001, per).collect())) == sorted((m, i) for m, at in points.items() for i in at)
+
+
+def test_compat_sample_of_lines(spark, dump):
+    x = run(spark, dump, body_regex="t", include_quoted=True, sample=0.5, semantics="compat", time_to=(2010, 2))
+    points = sampling.scan_points(0.5, [("RC_2010-01", 10), ("RC_2010-02", 3)])
+    want = {("RC_2010-01", i) for i in points["RC_2010-01"]} | {("RC_2010-02", i) for i in points["RC_2010-02"]}
+    if ("RC_2010-01", 0) in want:  # of which the first entry of the next month is a copy
+        want.discard(("RC_2010-02", 0))
+    assert {(r["file_name"], r["line_idx"]) for r in x.entries.collect()} == want
+
+
+def test_counts_tell_the_total_from_a_missing_month(spark):
+    df = spark.createDataFrame([(None, None, 7), (2010, 1, 5)], "year int, month int, weight long")
+    assert sorted((r["year"] or 0, r["n"], r["total"]) for r in counts.by_month(df).collect()) == [(0, 7, False), (0, 12, True), (2010, 5, False)]
+    assert [(r["n"], r["total"]) for r in counts.by_month(df.limit(0)).collect()] in ([], [(0, True)])
 
 
 def test_top_n_shuffles_once(spark):
@@ -220,7 +240,7 @@ def test_files(spark, dump, tmp_path):
     out = str(tmp_path / "out")
     x = extract(spark, ExtractSpec(dump, out, body_regex="they|said", popularity=0))
     paths = save(x)
-    assert len(paths) == 3
+    assert len(paths) == 3 and not [f for f in (tmp_path.parent).rglob("siltcomb-entries-*")]
     again = dumps.results(spark, paths[0])
     assert again.columns == sinks.columns(True) and again.count() == x.results.count()
     assert json.loads(spark.read.text(paths[2]).first()[0]) == {"Sub": 11}
@@ -247,6 +267,6 @@ def test_stream(spark, dump, tmp_path):
     from siltcomb.streaming import live
 
     s = live.unique(live.entries(spark, dump, "comments"))
-    t = live.drained(s.select("id", "raw"), "stream_test", str(tmp_path / "ck"), "append")
+    t = live.drained(s.select("id", "raw"), str(tmp_path / "stream"))
     assert t.count() == 13
     assert span_text is not None

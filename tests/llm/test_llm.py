@@ -534,3 +534,22 @@ def test_empty_texts_pass_the_near_copy_stage(spark):
 
     kept = cp.drop_near_copies(spark, docs(spark, [None, "", " \n", "a b", "a b", ""]), "")
     assert [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == [0, 1, 2, 3, 5]
+
+
+def test_near_copies_among_odd_columns(spark):
+    """Null ids, rows that repeat ids and texts, columns named like the operator's own, maps, very long texts, empty tables."""
+    long = " ".join(f"v{i}" for i in range(60_000))
+    texts = ["a b c d e f", "a b c d e f", "x y", "x y", long, long + " end", None, ""]
+    df = docs(spark, texts, [1, 1, None, 3, 5, 4, 6, 7]).withColumn("m", F.create_map(F.lit("k"), F.lit(1))).withColumns({c: F.lit(0) for c in ("th", "keeper", "gone_id", "__gone_id", "__gone_th", "bits", "first", "root")})
+    kept = near_copies.keep_one(df)
+    assert kept.columns == df.columns and sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in kept.collect()) == [(1, 11), (3, 3), (4, len(long) + 4), (6, 0)]
+    assert near_copies.keep_one(df.limit(0)).count() == 0
+
+
+def test_parity_never_claims_too_much():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 3, 300, 5000, 90_000):
+        s = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for change in (0, 1, n // 10, n // 2):
+            t = np.unique(np.concatenate([s[change:], rng.integers(0, 1 << 63, change // 2).astype(np.uint64)]))
+            assert near_copies.apart(near_copies.parity(s), near_copies.parity(t)) <= len(np.setxor1d(s, t))

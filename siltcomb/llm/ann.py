@@ -1,13 +1,15 @@
 """Nearest neighbours by collision-counting hashing, for the largest inner product.
 
 Vectors are scaled by the largest norm and given one more component that fills them up to the unit
-sphere, so the largest inner product is the least distance. Each of ``PROJECTIONS`` random directions
-has one sorted array of the projections of a block. A query places a window around its own projection
-in each array; a vector inside collides there. Windows widen by a constant factor from round to round
-(virtual rehashing: the arrays stay, only the ends of the windows move, and only what they newly cover
-is counted). Vectors whose collisions reach the threshold, which those within the round's radius do
+sphere, so the largest inner product is the least distance. Each of ``PROJECTIONS`` directions has one sorted
+array of the projections of a block. A query places a window around its own projection in each array; a vector
+inside collides there. Windows widen from round to round (virtual rehashing: the arrays stay, only the ends of the
+windows move). Vectors whose collisions reach the threshold, which those within the round's radius do
 with high probability, are verified by their exact inner product; a query is done once its k-th best
-lies within the radius.
+lies within the radius. About a tenth of a full block is verified.
+
+The sorted arrays are kept as bitmaps of their beginnings in ``GRID`` steps, so a window is the difference of two
+bitmaps, rounded outwards to a step, and collisions are counted for 64 vectors at a time by adding bitmaps up. The directions are orthogonal.
 
 All vectors are indexed and all queries meet all blocks: vectors are dealt into blocks of about
 ``BLOCK`` and stay put, queries stream past each block's index. A task holds one block and one batch.
@@ -29,65 +31,119 @@ from pyspark.sql import functions as F
 
 from siltcomb.llm._runtime import narrowed, persisted, ship
 
-PROJECTIONS, WIDTH, BLOCK, SEED = 24, 1.0, 16_384, 11
+PROJECTIONS, GRID, BLOCK, SEED, BATCH = 64, 48, 16_384, 11, 16
 #: Radii of the rounds; no two points of the sphere are farther apart than the last.
-RADII = np.array([0.08, 0.12, 0.2, 0.4, 0.8, 1.0, 1.1, 1.2, 1.3, 2.01])
-#: Of PROJECTIONS windows of half-width WIDTH x radius, a vector within the radius lies in 0.68 or more on average.
-THRESHOLD = 13
+RADII = np.array([0.4, 0.7, 0.9, 1.0, 1.06, 1.12, 1.18, 1.24, 1.35, 2.01])
+#: Of PROJECTIONS windows of half-width WIDTH x radius, a vector within the radius is in so many or more, in 19 cases of 20.
+WIDTH, THRESHOLD = 1.5, 55
+
+
+def at_least(rows: np.ndarray, least: int) -> np.ndarray:
+    """For bitmaps stacked along the first axis, the bits that are set in ``least`` of them or more.
+
+    The bitmaps are added up as whole words: three of one weight make one of that weight and one of the next.
+    """
+    planes, now = [], rows
+    while len(now):
+        carried = []
+        while len(now) > 2:
+            t = len(now) // 3
+            x, y, z = now[:t], now[t : 2 * t], now[2 * t : 3 * t]
+            xy = x ^ y
+            carried.append((x & y) | (xy & z))
+            now = np.concatenate([xy ^ z, now[3 * t :]])
+        if len(now) == 2:
+            carried.append(now[:1] & now[1:])
+            now = now[:1] ^ now[1:]
+        planes.append(now[0])
+        now = np.concatenate(carried) if carried else now[:0]
+    if least >> len(planes):
+        return np.zeros_like(planes[0])
+    more, same = np.zeros_like(planes[0]), ~np.zeros_like(planes[0])
+    for i in range(len(planes) - 1, -1, -1):
+        if least >> i & 1:
+            same = same & planes[i]
+        else:
+            more, same = more | (same & planes[i]), same & ~planes[i]
+    return more | same
+
+
+def directions(d: int) -> np.ndarray:
+    """``PROJECTIONS`` directions of ``d`` components, orthogonal within each stretch of d.
+
+    Projections onto a whole orthogonal set add up to the distance, so their collisions tell near from far better than independent ones.
+    """
+    rng, sets = np.random.default_rng(SEED), []
+    for _ in range(-(-PROJECTIONS // d)):
+        q, r = np.linalg.qr(rng.standard_normal((d, d)))
+        sets.append((q * np.sign(np.diag(r))).T)
+    return np.concatenate(sets)[:PROJECTIONS] * np.sqrt(d)
 
 
 class Index:
     """A block of vectors (rows of unit length or less, filled up to the sphere)."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float):
-        self.ids, self.vectors = ids, vectors
+        self.ids, self.vectors, self.largest = ids, vectors, largest
+        n = len(ids)
         scaled = vectors / largest
         fill = np.sqrt(np.clip(1 - (scaled * scaled).sum(1), 0, None))
-        rng = np.random.default_rng(SEED)
-        self.directions = rng.standard_normal((PROJECTIONS, vectors.shape[1] + 1))
+        self.directions = directions(vectors.shape[1] + 1)
         projected = self.directions[:, :-1] @ scaled.T + self.directions[:, -1:] * fill
-        self.order = np.argsort(projected, axis=1)
-        self.sorted = np.take_along_axis(projected, self.order, 1)
-        self.largest = largest
-
-    def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k nearest found, best first, ties to the lesser id."""
-        n = len(self.ids)
-        norm = np.sqrt((query * query).sum())
-        centre = self.directions[:, :-1] @ (query / norm)
-        count = np.zeros(n, np.int64)
-        verified = np.zeros(n, bool)
-        got, scores = np.zeros(0, np.int64), np.zeros(0)
-        # where the windows of every round begin and end in each array
-        reach = np.concatenate([-WIDTH * RADII[::-1], WIDTH * RADII])
-        ends = [s.searchsorted(c + reach).tolist() for s, c in zip(self.sorted, centre.tolist(), strict=True)]
-        rounds = len(RADII)
+        # each array is sorted and kept as bitmaps of its beginnings, one for each of GRID steps: a window is the difference of two
+        cuts = np.unique(np.linspace(0, n, min(GRID, n) + 1).astype(np.int64))
+        self.edges = np.zeros((PROJECTIONS, len(cuts) - 2))
+        words = -(-n // 64)
+        self.heads = np.zeros((PROJECTIONS, len(cuts), words), np.uint64)
+        for p in range(PROJECTIONS):
+            order = np.argsort(projected[p], kind="stable")
+            self.edges[p] = projected[p][order[cuts[1:-1]]]
+            head = np.zeros(words * 64, np.uint8)
+            for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                head[order[x:y]] = 1
+                self.heads[p, i + 1] = np.packbits(head, bitorder="little").view(np.uint64)
+
+    def search(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """For each query, the ids and scores of the k nearest found, best first, ties to the lesser id; and how many were verified."""
+        return [x for i in range(0, len(queries), BATCH) for x in self._some(queries[i : i + BATCH], k)]
+
+    def _some(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        n, m = len(self.ids), len(queries)
+        norm = np.sqrt((queries * queries).sum(1))
+        centre = (queries / norm[:, None]) @ self.directions[:, :-1].T
+        verified = [np.zeros(n, bool) for _ in range(m)]
+        got, scores = [np.zeros(0, np.int64)] * m, [np.zeros(0)] * m
+        active, each = np.arange(m), np.arange(PROJECTIONS)[:, None]
         for i, radius in enumerate(RADII.tolist()):
-            a, b = rounds - 1 - i, rounds + i
-            if i == 0:
-                new = [o[e[a] : e[b]] for o, e in zip(self.order, ends, strict=True)]
-            else:
-                new = [o[e[a] : e[a + 1]] for o, e in zip(self.order, ends, strict=True)]
-                new += [o[e[b - 1] : e[b]] for o, e in zip(self.order, ends, strict=True)]
-            new = np.concatenate(new)
-            if len(new):
-                count += np.bincount(new, minlength=n)
-            all_in = i == rounds - 1
-            some = np.flatnonzero(~verified if all_in else (count >= THRESHOLD) & ~verified)
-            if len(some):
-                verified[some] = True
-                got = np.concatenate([got, some])
-                scores = np.concatenate([scores, (self.vectors[some] * query).sum(1)])
-            if all_in or len(got) >= n:
+            c = centre[active].T[:, :, None]
+            low = (self.edges[:, None, :] < c - WIDTH * radius).sum(2)
+            high = (self.edges[:, None, :] <= c + WIDTH * radius).sum(2) + 1
+            hit = at_least(self.heads[each, high] ^ self.heads[each, low], THRESHOLD)
+            last, rest = i == len(RADII) - 1, []
+            for q, bits in zip(active.tolist(), hit, strict=True):
+                some = np.unpackbits(np.ascontiguousarray(bits).view(np.uint8), bitorder="little")[:n].astype(bool) & ~verified[q]
+                if last and len(got[q]) < k:  # too few so far: the rest is looked at as well
+                    some = ~verified[q]
+                verified[q] |= some
+                some = np.flatnonzero(some)
+                if len(some):
+                    got[q] = np.concatenate([got[q], some])
+                    scores[q] = np.concatenate([scores[q], (self.vectors[some] * queries[q]).sum(1)])
+                if len(got[q]) >= k:
+                    kth = np.partition(scores[q], len(got[q]) - k)[len(got[q]) - k]
+                    # squared distance on the sphere, where the query has length one
+                    if 2 - 2 * kth / (norm[q] * self.largest) <= radius * radius:
+                        continue
+                if len(got[q]) < n:
+                    rest.append(q)
+            active = np.array(rest, np.int64)
+            if not rest:
                 break
-            if len(got) >= k:
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                # squared distance on the sphere, where the query has length one
-                if 2 - 2 * kth / (norm * self.largest) <= radius * radius:
-                    break
-        ids = self.ids[got]
-        best = np.lexsort((ids, -scores))[:k]
-        return ids[best], scores[best]
+        out = []
+        for g, s in zip(got, scores, strict=True):
+            best = np.lexsort((self.ids[g], -s))[:k]
+            out.append((self.ids[g][best], s[best], len(g)))
+        return out
 
 
 def usable(v: Column) -> Column:
@@ -135,14 +191,18 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
                     rows.append(flat[at:end])
                 elif rows:
                     index = index or Index(np.concatenate(ids), np.concatenate(rows), largest)
-                    found = [index.search(q, k + 1) for q in flat[at:end]]
+                    found = index.search(flat[at:end], k + 1)
+                    if not found:
+                        at = end
+                        continue
                     size = [len(f[0]) for f in found]
                     yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name[at:end], size)), pa.array(np.repeat(k2[at:end], size)), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], ["k1", "k2", "rep", "score"])
                 at = end
 
     stay = classes.select(F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), F.col("rep").alias("name"), F.lit(0).cast("long").alias("k2"), "v")
     go = wanted.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), F.col("k1").alias("name"), "k2", "v")
-    met = stay.union(go).repartition(blocks, "block").sortWithinPartitions("block", "kind", "name")
+    # with more bounds than blocks, each block has a range of its own
+    met = stay.union(go).repartitionByRange(3 * blocks, "block").sortWithinPartitions("block", "kind", "name")
     found = met.mapInArrow(run, "k1 long, k2 long, rep long, score double")
     best = Window.partitionBy("k1", "k2").orderBy(F.desc("score"), "rep")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")

@@ -435,6 +435,31 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_few_vectors_are_verified():
+    """A full block of vectors with little contrast, as random ones in 64 dimensions have: recall of 0.95 and more for 15 % verified."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((10, 64)) * 0.35
+    x = centres[rng.integers(0, 10, ann.BLOCK)] + rng.standard_normal((ann.BLOCK, 64))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    ids = np.arange(len(x))
+    found = ann.Index(ids, x, 1 + 1e-12).search(x[::400], 21)
+    best = [np.lexsort((ids, -(x @ q)))[:21] for q in x[::400]]
+    recall = np.mean([len(set(f[0]) & set(b)) / 21 for f, b in zip(found, best, strict=True)])
+    share = np.mean([f[2] for f in found]) / len(x)
+    assert recall >= 0.95 and share <= 0.15, (recall, share)
+
+
+def test_bitmaps_add_up():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 17, 64):
+        rows_ = rng.integers(0, 2, (n, 128), dtype=np.uint8)
+        words = np.packbits(rows_, axis=1, bitorder="little").view(np.uint64)
+        for least in (1, 2, n // 2, n, n + 1, 200):
+            if least:
+                got = np.unpackbits(ann.at_least(words, least).view(np.uint8), bitorder="little")
+                assert (got == (rows_.sum(0) >= least)).all(), (n, least)
+
+
 # 5
 
 

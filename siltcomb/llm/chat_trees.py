@@ -10,8 +10,9 @@ backslash, ``#`` and ``<`` get a backslash in front (in roles ``:`` too), so no
 everything is read back as it was. The loss mask lists the spans of assistant texts, in code points.
 
 Null texts and roles are empty. A node whose parent is null or absent is a root. Of nodes with
-one id, all but the least (score, role, text) are left out, since a reply names one node; a cycle of
-replies is an error. Equal scores go to the lesser leaf id. Empty tables give no conversations.
+one id, all but the least (parent, score, role, text) are left out, since a reply names one node. Nodes without an id take no
+part: nothing can tell them apart. Nodes on a cycle of replies or below one are in no conversation; :func:`cyclic` lists them,
+and the other trees are unharmed. Equal scores go to the lesser leaf id. Empty tables give no conversations; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,24 +56,45 @@ def parse_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def best_paths(nodes: DataFrame, per_root: int = 1) -> DataFrame:
-    """(leaf, root, branch_score, dist, id) of nodes (id, parent, score): the paths of the best leaves of each root, dist 0 at the leaf."""
-    one = persisted(nodes.groupBy("id").agg(F.min(F.struct("parent", "score")).alias("x")).select("id", "x.parent", F.coalesce("x.score", F.lit(0.0)).cast("double").alias("score")), "nodes")
+def _single(nodes: DataFrame) -> DataFrame:
+    """(id, parent, score), one row an id."""
+    named = nodes.where(F.col("id").isNotNull())
+    return persisted(named.groupBy("id").agg(F.min(F.struct("parent", "score")).alias("x")).select("id", "x.parent", F.coalesce("x.score", F.lit(0.0)).cast("double").alias("score")), "nodes")
+
+
+def _resolved(one: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(id, jump, root, score, depth) of every node, with jump null where the root is reached, and the jumps of 1, 2, 4 ... ancestors.
+
+    Nodes that still jump when stretches are longer than the table hang on a cycle.
+    """
     known = one.select(F.col("id").alias("p"))
     state = one.join(known, one["parent"] == known["p"], "left").select("id", F.col("p").alias("jump"), F.col("id").alias("root"), "score", F.lit(1).cast("long").alias("depth"))
     state = persisted(state, "state")
     jumps, n = [], one.count()
-    while state.where("jump is not null").limit(1).count():
-        if 1 << len(jumps) > n:
-            raise ValueError("replies form a cycle")
-        jumps.append(state.select("id", "jump").where("jump is not null"))
-        far = state.select(F.col("id").alias("jump"), F.col("jump").alias("jump2"), F.col("root").alias("root2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
-        state = persisted(
-            state.join(far, "jump", "left").select(
-                "id", F.col("jump2").alias("jump"), F.coalesce("root2", "root").alias("root"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")
-            ),
-            "state",
-        )
+    names = ["id", "jump", "root", "score", "depth"]
+    done = None  # nodes that have reached their root aren't written again
+    while 1 << len(jumps) <= n:
+        active = state.where("jump is not null")
+        if not active.limit(1).count():
+            break
+        jumps.append(active.select("id", "jump"))
+        over = state.where("jump is null")
+        done = over if done is None else done.union(over)
+        far = done.union(active).select(F.col("id").alias("jump"), F.col("jump").alias("jump2"), F.col("root").alias("root2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
+        state = persisted(active.join(far, "jump").select("id", F.col("jump2").alias("jump"), F.col("root2").alias("root"), (F.col("score") + F.col("score2")).alias("score"), (F.col("depth") + F.col("depth2")).alias("depth")), "state")
+    return (state if done is None else done.union(state)).select(names), jumps
+
+
+def cyclic(nodes: DataFrame) -> DataFrame:
+    """(id) of the nodes whose ancestors form a cycle; they have no root and stand in no conversation."""
+    return _resolved(_single(nodes))[0].where("jump is not null").select("id")
+
+
+def best_paths(nodes: DataFrame, per_root: int = 1) -> DataFrame:
+    """(leaf, root, branch_score, dist, id) of nodes (id, parent, score): the paths of the best leaves of each root, dist 0 at the leaf."""
+    one = _single(nodes)
+    state, jumps = _resolved(one)
+    state = state.where("jump is null")
     leaves = state.join(one.select(F.col("parent").alias("id")).where("id is not null").distinct(), "id", "left_anti")
     rank = F.row_number().over(Window.partitionBy("root").orderBy(F.desc("score"), "id"))
     chosen = leaves.withColumn("n", rank).where(F.col("n") <= per_root)

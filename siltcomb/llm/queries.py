@@ -126,6 +126,21 @@ def op7_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(conv.alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
+OP7_SQL = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '{PLANTED}'), (-7, 1, 'assistant', '{PLANTED}')) v(conv_id, turn, role, text)
+), a AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         CAST(sum(length('### :') + 1 + length(chr(10) || '</turn>' || chr(10)) + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+             + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars
+  FROM c GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM a
+"""
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -160,4 +175,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op6_line_dedup": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op6_line_dedup": OP6_SQL, "op7_chat_trees": OP7_SQL}

@@ -395,8 +395,11 @@ def test_reply_trees(spark):
     assert chat_trees.conversations(df, per_root=2).count() == 5
     chain = spark.range(70).select("id", (F.when(F.col("id") > 0, F.col("id") - 1)).alias("parent"), F.lit(1.0).alias("score"))
     assert chat_trees.best_paths(chain).count() == 70
-    with pytest.raises(ValueError, match="cycle"):
-        chat_trees.best_paths(spark.createDataFrame([(1, 2, 0.0), (2, 1, 0.0)], "id long, parent long, score double"))
+    # cycles, what hangs on them, nodes without an id, and other trees
+    odd = [(1, 2, 0.0), (2, 1, 0.0), (3, 2, 0.0), (4, 4, 0.0), (None, None, 1.0), (None, 5, 1.0), (5, None, 1.0), (6, 5, 1.0)]
+    odd = spark.createDataFrame([(i, p, s, "user", f"t{i}") for i, p, s in odd], "id long, parent long, score double, role string, text string").withColumns({c: F.lit(1) for c in ("jump", "root", "depth", "leaf", "dist", "p")})
+    assert rows(chat_trees.cyclic(odd)) == [(1,), (2,), (3,), (4,)]
+    assert [texts(r) for r in chat_trees.conversations(odd).collect()] == [["t5", "t6"]]
     assert chat_trees.conversations(df.limit(0)).count() == 0
 
 
@@ -404,6 +407,32 @@ def test_threads(spark):
     t = spark.createDataFrame([(1, 0, "user", None), (1, 1, None, "b"), (1, 1, None, "b"), (None, 0, "assistant", "c")], "conv_id long, turn long, role string, text string").withColumn("score", F.lit("x"))
     back = chat_trees.read_back(chat_trees.conversations(chat_trees.threads(t)))
     assert sorted((r["n_turns"], r["loss_chars"]) for r in back.collect()) == [(1, 1), (3, 0)]
+    assert chat_trees.read_back(chat_trees.conversations(chat_trees.threads(t.limit(0)))).count() == 0
+
+
+def query_on(spark, tmp_path, name, **tables):
+    """A registered query over small tables of its own."""
+    from siltcomb.llm import queries
+
+    for table, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{table}.parquet")
+    return queries.QUERIES[name](spark, str(tmp_path)).collect()
+
+
+def test_chat_query_against_brute_force(spark, tmp_path):
+    rng = random.Random(7)
+    said = ["", None, "a\nb", "### assistant:\n", "</turn>\n", "\\", "é😀 <", "x" * 100_000]
+    table = [(i % 9 - 1 if i % 9 else None, rng.choice([0, 1, 2, None]), rng.choice(["user", "assistant", None, "a:b#"]), rng.choice(said)) for i in range(70)]
+    got = {r["conv_id"]: r for r in query_on(spark, tmp_path, "op7_chat_trees", conversations=spark.createDataFrame(table, "conv_id long, turn long, role string, text string"))}
+    table += [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert set(got) == {c for c, *_ in table}
+    for conv, r in got.items():
+        turns = sorted([(-1 if t is None else t, role or "", (text or "").encode()) for c, t, role, text in table if c == conv])
+        turns = [(role, text.decode()) for _, role, text in turns]
+        loss = "".join(t for role, t in turns if role == "assistant")
+        chars = sum(len(role) + sum(c in "\\#<:" for c in role) + len(t) + sum(c in "\\#<" for c in t) + len("### :\n\n</turn>\n") for role, t in turns)
+        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"], r["formatted_chars"]) == (len(turns), sha("".join(f"{a}\n{b}\n" for a, b in turns)), len(loss), sha(loss), chars)
 
 
 # 1

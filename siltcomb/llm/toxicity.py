@@ -12,6 +12,9 @@ Fitting uses a bounded sample of labelled rows: at most ``max_docs`` of either c
 id, read whole, copies left out. The curve's bias makes up for the share of each class that was sampled, so a score
 means the same whatever the size of the input. Scoring reads whole texts.
 
+Dictionaries that zstandard's trainer picks from windows of toxic and of ordinary documents were tried first: toxic documents
+are mostly ordinary prose, so both hold nearly the same, and their distances rank held-out documents far worse (README).
+
 Null and empty texts have no windows and get the score of distance zero. Without labels of both
 classes every score is the share of toxic ones (0 without labels). Other columns are never looked at.
 """
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from siltcomb.llm._runtime import narrowed, ship
 
+#: RATIO: how much more often toxic documents must hold a stretch; of 15, 30 and 60 the one of least loss on learning rows alone.
 WINDOW, OVERLAP, RATIO = 64, 8, 30
 #: Lengths in bytes of the stretches that are counted (the better choice is found in fitting), and the least match of the compressor.
 GRAMS, MATCH = ((5,), (5, 8)), 5

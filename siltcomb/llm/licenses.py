@@ -1,16 +1,17 @@
 """License scans over a positional rare-token index of license templates.
 
 Each template is a run of words with mandatory key phrases at known positions. How rare its words are
-is counted over all documents. The index posts the rarest word of each key phrase, with its position; the
-template's other words only weigh in the score. A file looks up its words among them, rarest first. A posting
-gives where the template would begin, and there the key phrase is compared word by word. Where a template has
-two key phrases, both must agree on the beginning: a word put in or left out between them loses the label. A template that keeps all its key phrases labels the
-file, and its score is the share of its words (weighted by rarity) that stand where they should.
+is counted over all documents. The index posts the ``POSTED`` rarest words of each template with their positions in it. A
+file's licence words are looked up, rarest first; a posting tells where the template would begin, and where half of a
+template's posted words agree on the beginning, give or take ``SLACK`` words, its postings intersect. There the key phrases are
+compared word by word, each within the slack of its place. A template that keeps all its key phrases and at least ``LEAST`` of its
+words (weighted by rarity) in their places labels the file; that share is its score. So a key phrase in other surroundings is no
+label, and words that were put in or left out are no obstacle.
 
-A label can't be missed by the index: a file that holds a key phrase holds its rarest word.
+Base phrases label a file wherever they stand; each is found by its rarest word, and none can be missed.
 
 Words: A-Z in lower case; digits, letters and non-ASCII characters. Null and empty texts have no words,
-no labels ("") and score 0. Each row gets its own result; other columns are ignored.
+no labels ("") and score 0. Each row gets its own result, repeated rows the same; an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,33 @@ from siltcomb.llm._words import words_of
 #: Phrases that label a file wherever they stand.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-#: (label, words, key phrases among them). Openings and notices that the licenses prescribe or that are in common use.
+_MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software "
+    "without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons "
+    "to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or "
+    "substantial portions of the software the software is provided as is without warranty of any kind express or implied"
+)
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code "
+    "must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list "
+    "of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is"
+)
+_ISC = (
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission "
+    "notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software"
+)
+_APACHE = (
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at "
+    "http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+    "without warranties or conditions of any kind either express or implied"
+)
+_GPL = (
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu {} public license as published by the free software foundation either version of the "
+    "license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+    "merchantability or fitness for a particular purpose"
+)
+
+#: (label, words, key phrases among them). Openings, notices that the licenses prescribe or that are in common use, and whole short licenses.
 TEMPLATES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge", "associated documentation files")),
     ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("apache license version 2 0",)),
@@ -44,66 +71,103 @@ TEMPLATES = (
     ("cc-by-nd", "this work is licensed under cc by nd", ("cc by nd",)),
     ("cc0", "to the extent possible under law the author has waived all copyright", ("has waived all copyright",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software", "public domain")),
+    # a full name and a version will do
+    ("gpl", "gnu general public license version 3", ("gnu general public license",)),
+    ("lgpl", "gnu lesser general public license version 3", ("gnu lesser general public license",)),
+    ("agpl", "gnu affero general public license version 3", ("gnu affero general public license",)),
+    ("mit", _MIT, ("permission is hereby granted free of charge", "substantial portions of the software", "the software is provided as is")),
+    ("bsd", _BSD, ("redistribution and use in source and binary forms", "redistributions in binary form must reproduce", "this software is provided by the copyright holders")),
+    ("isc", _ISC, ("permission to use copy modify and or distribute", "the software is provided as is and the author disclaims")),
+    ("apache-2", _APACHE, ("apache license version 2 0", "distributed on an as is basis")),
+    ("gpl", _GPL.format("general"), ("under the terms of the gnu general public license", "without even the implied warranty")),
+    ("lgpl", _GPL.format("lesser general"), ("under the terms of the gnu lesser general public license", "without even the implied warranty")),
+    ("agpl", _GPL.format("affero general"), ("under the terms of the gnu affero general public license", "without even the implied warranty")),
 )
 
 
+#: Words that are posted of a template, words that a place may be off, and the least share of a template that labels a file.
+POSTED, SLACK, LEAST = 12, 3, 0.6
+
+
 class Index:
-    """Templates and base phrases, posted by their rarest words."""
+    """Templates by their rarest words, base phrases by their single rarest."""
 
     def __init__(self, base, templates, seen: dict[bytes, int], n_docs: int):
         idf = lambda w: math.log((n_docs + 1) / (seen.get(w, 0) + 1)) + 1
-        self.templates = []
-        #: word -> [(template, which key phrase, words of it, position of the word in it)]
-        self.postings: dict[bytes, list] = defaultdict(list)
+        #: word -> [(phrase, label, position of the word in it)]
+        self.base: dict[bytes, list] = defaultdict(list)
         for phrase, label in base:
             words = words_of(phrase)
-            self._post(len(self.templates), 0, words, idf)
-            self.templates.append((label, words, [0], [words], [1.0] * len(words), True))
+            i = max(range(len(words)), key=lambda i: (idf(words[i]), -i))
+            self.base[words[i]].append((words, label, i))
+        self.templates = []
+        #: word -> [(template, position of the word in it)]
+        self.postings: dict[bytes, list] = defaultdict(list)
         for label, text, keys in templates:
             words, phrases = words_of(text), [words_of(k) for k in keys]
             at = [next(i for i in range(len(words)) if words[i : i + len(p)] == p) for p in phrases]
-            for k, p in enumerate(phrases):
-                self._post(len(self.templates), k, p, idf)
-            self.templates.append((label, words, at, phrases, [idf(w) for w in words], False))
-        self.rarity = {w: idf(w) for w in self.postings}
-
-    def _post(self, template: int, key: int, words: list[bytes], idf) -> None:
-        i = max(range(len(words)), key=lambda i: (idf(words[i]), -i))
-        self.postings[words[i]].append((template, key, words, i))
+            rare = sorted(range(len(words)), key=lambda i: (-idf(words[i]), i))[:POSTED]
+            for j in rare:
+                self.postings[words[j]].append((len(self.templates), j))
+            self.templates.append((label, words, list(zip(at, phrases, strict=True)), [idf(w) for w in words], (len(rare) + 1) // 2))
+        self.rarity = {w: idf(w) for w in [*self.postings, *self.base]}
+
+    def _begins(self, hits: list[tuple[int, int]], least: int) -> list[int]:
+        """Where a template may begin: ``least`` of its posted words agree within the slack."""
+        hits.sort()
+        out, first, held = [], 0, Counter()
+        for begin, j in hits:
+            held[j] += 1
+            while begin - hits[first][0] > 2 * SLACK:
+                old = hits[first][1]
+                held[old] -= 1
+                if not held[old]:
+                    del held[old]
+                first += 1
+            if len(held) >= least:
+                middle = (hits[first][0] + begin) // 2
+                if not out or middle > out[-1]:
+                    out.append(middle)
+        return out
+
+    def _share(self, words: list[bytes], template: int, begin: int) -> float:
+        """The share of the template that stands there; 0 if a key phrase is missing."""
+        _, whole, keys, weights, _ = self.templates[template]
+        for at, phrase in keys:
+            places = range(max(0, begin + at - 2 * SLACK), begin + at + 2 * SLACK + 1)
+            if not any(words[p : p + len(phrase)] == phrase for p in places):
+                return 0.0
+        same = sum(x for j, (w, x) in enumerate(zip(whole, weights, strict=True)) if w in words[max(0, begin + j - 2 * SLACK) : max(0, begin + j + 2 * SLACK + 1)])
+        return min(1.0, same / sum(weights))
 
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)
-        postings = self.postings
+        rarity = self.rarity
         found = defaultdict(list)
         for i, w in enumerate(words):
-            if w in postings:
+            if w in rarity:
                 found[w].append(i)
-        begins: dict = defaultdict(lambda: defaultdict(set))  # template -> beginning -> key phrases verified there
-        for w in sorted(found, key=lambda w: -self.rarity[w]):
-            for template, key, phrase, offset in postings[w]:
-                at = self.templates[template][2][key]
-                n = len(phrase)
+        hits: dict[int, list] = defaultdict(list)
+        places: list[int] = []
+        base_labels, labels, score = set(), set(), 0.0
+        for w in sorted(found, key=lambda w: -rarity[w]):
+            for phrase, label, offset in self.base.get(w, ()):
                 for i in found[w]:
-                    a = i - offset
-                    if a >= 0 and words[a : a + n] == phrase:
-                        begins[template][a - at].add(key)
-        n_base, places, base_labels, labels, score = 0, [], set(), set(), 0.0
-        for template, where in begins.items():
-            label, whole, _, keys, weights, is_base = self.templates[template]
-            if is_base:
-                n_base += len(where)
-                places += where
-                base_labels.add(label)
-                score = max(score, 1.0)
-                continue
-            for begin, got in where.items():
-                if len(got) < len(keys):
-                    continue
-                labels.add(label)
-                same = sum(x for j, x in enumerate(weights) if 0 <= begin + j < len(words) and words[begin + j] == whole[j])
-                score = max(score, min(1.0, same / sum(weights)))
+                    if i >= offset and words[i - offset : i - offset + len(phrase)] == phrase:
+                        places.append(i - offset)
+                        base_labels.add(label)
+                        score = 1.0
+            for template, j in self.postings.get(w, ()):
+                hits[template] += [(i - j, j) for i in found[w]]
+        for template, some in hits.items():
+            label, _, _, _, least = self.templates[template]
+            if len({j for _, j in some}) >= least:
+                share = max((self._share(words, template, b) for b in self._begins(some, least)), default=0.0)
+                if share >= LEAST:
+                    labels.add(label)
+                    score = max(score, share)
         join = lambda s: ",".join(sorted(s))
-        return len(words), n_base, min(places, default=None), max(places, default=None), join(base_labels), join(base_labels | labels), score
+        return len(words), len(places), min(places, default=None), max(places, default=None), join(base_labels), join(base_labels | labels), score
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, templates=TEMPLATES) -> DataFrame:

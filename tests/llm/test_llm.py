@@ -375,6 +375,33 @@ def test_licenses(spark):
     assert [(x["n_base"], x["first_word"], x["last_word"]) for x in r] == [(4, 0, 3), (1, 1, 1)]
 
 
+def test_licenses_by_their_surroundings(spark):
+    from siltcomb.llm.licenses import _GPL, _MIT
+
+    w = _MIT.split()
+    changed = " ".join(w[:30] + ["kindly"] + w[30:60] + w[61:])  # a word put in, one left out
+    texts = {"this text is not cc by sa": "", "this work is licensed under CC BY-SA 4.0": "cc-by-sa", "x " * 500 + changed.upper(): "mit", _GPL.format("affero general"): "agpl", " ".join(w[::-1]): "", "the gnu general and the public license": "", "gnu " * 3000: ""}
+    got = licenses.scan(docs(spark, list(texts))).orderBy("doc_id").collect()
+    assert [r["labels"] for r in got] == list(texts.values())
+    assert all((r["score"] >= licenses.LEAST) == bool(r["labels"]) for r in got)
+
+
+def test_license_query_against_brute_force(spark, tmp_path):
+    import re
+
+    rng = random.Random(11)
+    bits = ["under", "the", "mit", "MIT", "license", "License.", "apache", "version", "2", "cc", "by", "nc", "nc-", "é", "\x00", "_"]
+    texts = [None, "", "under the mit license " * 20_000, *[" ".join(rng.choices(bits, k=rng.randint(1, 400))) for _ in range(60)]] + ["under the mit license apache license version 2 cc-by-nc"] * 3
+    got = sorted(query_on(spark, tmp_path, "op9_licenses", documents=docs(spark, texts)), key=lambda r: r["doc_id"])
+    assert len(got) == len(texts)
+    for t, r in zip(texts, got, strict=True):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        places = [(i, label) for phrase, label in licenses.BASE for p in [phrase.split()] for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
+        want = (len(words), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None), ",".join(sorted({x for _, x in places})))
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == want
+        assert {x for _, x in places} <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+
+
 # 7
 
 

@@ -72,9 +72,9 @@ TEMPLATES = (
     ("cc0", "to the extent possible under law the author has waived all copyright", ("has waived all copyright",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software", "public domain")),
     # a full name and a version will do
-    ("gpl", "gnu general public license version 3", ("gnu general public license",)),
-    ("lgpl", "gnu lesser general public license version 3", ("gnu lesser general public license",)),
-    ("agpl", "gnu affero general public license version 3", ("gnu affero general public license",)),
+    ("gpl", "gnu general public license version", ("gnu general public license",)),
+    ("lgpl", "gnu lesser general public license version", ("gnu lesser general public license",)),
+    ("agpl", "gnu affero general public license version", ("gnu affero general public license",)),
     ("mit", _MIT, ("permission is hereby granted free of charge", "substantial portions of the software", "the software is provided as is")),
     ("bsd", _BSD, ("redistribution and use in source and binary forms", "redistributions in binary form must reproduce", "this software is provided by the copyright holders")),
     ("isc", _ISC, ("permission to use copy modify and or distribute", "the software is provided as is and the author disclaims")),

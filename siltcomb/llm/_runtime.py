@@ -2,38 +2,28 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from siltcomb.functions.workers import importable
+from siltcomb.sources import store
 
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package even when only the driver's sys.path holds it."""
-    env = spark.sparkContext.environment
-    have = env.get("PYTHONPATH", "").split(os.pathsep)
-    if _ROOT not in have:
-        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *[x for x in have if x]])
+    importable(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a laptop) is a folder of our own made and set.
+    Only where the setting is absent and Spark runs on this machine alone (tests, a laptop) is a folder of our own made and set.
     """
+    where = store.shared_dir(spark)
     sc = spark.sparkContext
-    where = sc.getConf().get("spark.checkpoint.dir")
-    if not where:
-        where = sc._jsc.sc().getCheckpointDir()
-        where = where.get() if where.isDefined() else None
-    if not where:
-        import tempfile
-
-        where = f"file://{tempfile.mkdtemp(prefix='siltcomb-ckpt-')}"
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(where)
     return where

@@ -8,7 +8,8 @@ document; what passes is compared word by word.
 
 Rarity is counted over all documents first. The items are a side table with a proven bound: they
 are taken in parts of at most ``part_bytes`` of text, and each part makes one pass over the
-documents, so that no broadcast exceeds a part's size. Documents are never shuffled.
+documents, so that no broadcast exceeds a part's size. A window is kept as the place where it begins among the numbers of
+all items' words, so a part takes about 20 bytes a byte of text, its vocabulary included. Documents are never shuffled.
 
 Words: A-Z in lower case; digits, letters and non-ASCII characters. An item of fewer words than a
 window is one window; an item without words, or with null id or text, takes no part; rows that repeat
@@ -19,7 +20,6 @@ document row gets its own result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -47,19 +47,37 @@ def shingle_keys(ids: np.ndarray, k: int) -> np.ndarray:
 
 
 class Windows:
-    """The windows of a part of the items, over word numbers of their own vocabulary."""
+    """The windows of a part of the items: numbers of their words one after another, and where each window begins there."""
 
     def __init__(self, items: list[tuple], window: int):
         self.vocab: dict[bytes, int] = {}
-        self.windows: dict[tuple[int, ...], set] = defaultdict(set)
-        for name, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab)) for w in words_of(text)]
-            n = min(window, len(ids))
-            for i in range(len(ids) - n + 1 if n else 0):
-                self.windows[tuple(ids[i : i + n])].add(name)
-        self.lengths = sorted({min(SHINGLE, len(w)) for w in self.windows})
-        #: shingles by length, sorted
-        self.shingles = {k: np.unique(np.concatenate([shingle_keys(np.array(w), k) for w in self.windows if min(SHINGLE, len(w)) == k])) for k in self.lengths}
+        self.names = [name for name, _ in items]
+        texts = [np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words_of(text)], np.int32) for _, text in items]
+        size = np.array([len(x) for x in texts], np.int64)
+        self.ids = np.concatenate([*texts, np.zeros(0, np.int32)])
+        begin = np.concatenate([[0], np.cumsum(size)])[:-1]
+        n = np.minimum(window, size)
+        count = np.where(size > 0, size - n + 1, 0)
+        #: item, first word and number of words of each window
+        self.item = np.repeat(np.arange(len(items), dtype=np.int32), count)
+        self.start = (np.repeat(begin - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(count.sum())).astype(np.int32)
+        self.length = np.repeat(n, count).astype(np.int32)
+        self.lengths = sorted({min(SHINGLE, int(x)) for x in np.unique(self.length)})
+        #: keys of the shingles of each length, at every word; and those that stand in a window, sorted
+        self.keys = {k: shingle_keys(self.ids, k) for k in self.lengths}
+        self.shingles = {k: self._sorted(k) for k in self.lengths}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "keys"}  # of use on the driver only
+
+    def _of(self, k: int) -> np.ndarray:
+        """The windows that are found by shingles of ``k`` words."""
+        return np.flatnonzero(np.minimum(SHINGLE, self.length) == k)
+
+    def _sorted(self, k: int) -> np.ndarray:
+        some = self._of(k)
+        begins = [self.start[some[self.length[some] >= k + j]] + j for j in range(int(self.length[some].max()) - k + 1)]
+        return np.unique(self.keys[k][np.concatenate(begins)])
 
     def numbers(self, text: str | None) -> np.ndarray:
         get = self.vocab.get
@@ -77,15 +95,40 @@ class Windows:
         at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
         return whole[among[at] == keys]
 
-    def index(self, rarity: dict[tuple[int, int], int]) -> dict[int, tuple]:
-        """For each shingle length: (sorted keys, key -> [(offset, window)]), with the rarest shingle of each window posted."""
-        posted: dict[int, dict[int, list]] = {k: defaultdict(list) for k in self.lengths}
-        for w in self.windows:
-            k = min(SHINGLE, len(w))
-            keys = shingle_keys(np.array(w), k).tolist()
-            best = min(range(len(keys)), key=lambda i: (rarity.get((k, keys[i]), 0), keys[i], i))
-            posted[k][keys[best]].append((best, w))
-        return {k: (np.array(sorted(p), np.uint64), dict(p)) for k, p in posted.items()}
+    def index(self, rarity: dict[int, np.ndarray]) -> dict[int, tuple]:
+        """For each shingle length: (sorted keys, bounds, windows, offsets), with the rarest shingle of each window posted under its key.
+
+        ``rarity`` has a count for each of ``shingles``.
+        """
+        out = {}
+        for k in self.lengths:
+            some, keys, sorted_ = self._of(k), self.keys[k], self.shingles[k]
+            best, least, chosen = np.zeros(len(some), np.int32), np.full(len(some), np.iinfo(np.int64).max), np.zeros(len(some), np.uint64)
+            for j in range(int(self.length[some].max()) - k + 1):
+                inside = np.flatnonzero(self.length[some] >= k + j)
+                key = keys[self.start[some[inside]] + j]
+                n = rarity[k][np.searchsorted(sorted_, key)]
+                better = (n < least[inside]) | ((n == least[inside]) & (key < chosen[inside]))
+                at = inside[better]
+                best[at], least[at], chosen[at] = j, n[better], key[better]
+            order = np.argsort(chosen, kind="stable")
+            posted, first = np.unique(chosen[order], return_index=True)
+            out[k] = (posted, np.append(first, len(order)).astype(np.int32), some[order].astype(np.int32), best[order])
+        return out
+
+    def found(self, ids: np.ndarray, posted: dict[int, tuple]):
+        """(a, b, item) of every window that the document's words ``ids`` hold from a to b."""
+        for k, (keys, bounds, windows, offsets) in posted.items():
+            at = self.present(ids, k, keys)
+            if not len(at):
+                continue
+            where = np.searchsorted(keys, shingle_keys(ids, k)[at])
+            for p, x in zip(at.tolist(), where.tolist(), strict=True):
+                for i in range(int(bounds[x]), int(bounds[x + 1])):
+                    w = int(windows[i])
+                    a, n, s = p - int(offsets[i]), int(self.length[w]), int(self.start[w])
+                    if a >= 0 and a + n <= len(ids) and np.array_equal(ids[a : a + n], self.ids[s : s + n]):
+                        yield a, a + n, self.names[self.item[w]]
 
 
 def _parts(items: DataFrame, part_bytes: int, item_id: str, item_text: str) -> list[list[tuple]]:
@@ -97,7 +140,7 @@ def _parts(items: DataFrame, part_bytes: int, item_id: str, item_text: str) -> l
         yield [(str(r["item_id"]), r["text"]) for r in some.collect()]  # bounded by part_bytes
 
 
-def _rarity(t: DataFrame, shared) -> dict[tuple[int, int], int]:
+def _rarity(t: DataFrame, shared) -> dict[int, np.ndarray]:
     """In how many documents each item shingle stands."""
 
     def run(batches):
@@ -115,8 +158,10 @@ def _rarity(t: DataFrame, shared) -> dict[tuple[int, int], int]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), k, np.int32)), pa.array(i), pa.array(n[i])], ["k", "i", "n"])
 
     counts = t.select("text").mapInArrow(run, "k int, i long, n long").groupBy("k", "i").agg(F.sum("n").alias("n"))
-    shingles = shared.value.shingles
-    return {(r["k"], int(shingles[r["k"]][r["i"]])): r["n"] for r in counts.collect()}  # bounded by the part's shingles
+    out = {k: np.zeros(len(s), np.int64) for k, s in shared.value.shingles.items()}
+    for r in counts.collect():  # bounded by the part's shingles
+        out[r["k"]][r["i"]] = r["n"]
+    return out
 
 
 def hits(df: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", part_bytes: int = 16 << 20) -> DataFrame:
@@ -128,8 +173,9 @@ def hits(df: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_i
     schema = f"doc_id {kind}, text string, n_words long, mask binary, items array<string>"
     out = None
     for part in _parts(items, part_bytes, item_id, item_text):
-        shared = spark.sparkContext.broadcast(Windows(part, window))
-        index = spark.sparkContext.broadcast(shared.value.index(_rarity(t, shared)))
+        made = Windows(part, window)
+        shared = spark.sparkContext.broadcast(made)
+        index = spark.sparkContext.broadcast(made.index(_rarity(t, shared)))
 
         def run(batches, shared=shared, index=index):
             w, posted = shared.value, index.value
@@ -140,16 +186,9 @@ def hits(df: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_i
                     ids = w.numbers(text)
                     mask = np.frombuffer(batch.column(3)[i].as_py(), np.uint8).copy() if more else np.zeros(len(ids), np.uint8)
                     found = set(batch.column(4)[i].as_py()) if more else set()
-                    for k, (keys, where) in posted.items():
-                        at = w.present(ids, k, keys)
-                        if not len(at):
-                            continue
-                        for p, key in zip(at.tolist(), shingle_keys(ids, k)[at].tolist(), strict=True):
-                            for offset, words in where[key]:
-                                a, b = p - offset, p - offset + len(words)
-                                if a >= 0 and b <= len(ids) and tuple(ids[a:b].tolist()) == words:
-                                    mask[a:b] = 1
-                                    found |= w.windows[words]
+                    for x, y, name in w.found(ids, posted):
+                        mask[x:y] = 1
+                        found.add(name)
                     n_words.append(len(ids))
                     masks.append(mask.tobytes())
                     names.append(sorted(found))
@@ -182,8 +221,9 @@ def without_hits(df: DataFrame, items: DataFrame, window: int = 10, text_col: st
     ship(spark)
     out = df
     for part in _parts(items, names.get("part_bytes", 16 << 20), names.get("item_id", "item_id"), names.get("item_text", "text")):
-        shared = spark.sparkContext.broadcast(Windows(part, window))
-        index = spark.sparkContext.broadcast(shared.value.index(_rarity(narrowed(df, text=text_col), shared)))
+        made = Windows(part, window)
+        shared = spark.sparkContext.broadcast(made)
+        index = spark.sparkContext.broadcast(made.index(_rarity(narrowed(df, text=text_col), shared)))
 
         def run(batches, shared=shared, index=index):
             for batch in batches:
@@ -195,12 +235,4 @@ def without_hits(df: DataFrame, items: DataFrame, window: int = 10, text_col: st
 
 
 def _any(w: Windows, posted: dict, text: str | None) -> bool:
-    ids = w.numbers(text)
-    for k, (keys, where) in posted.items():
-        at = w.present(ids, k, keys)
-        for p, key in zip(at.tolist(), shingle_keys(ids, k)[at].tolist() if len(at) else [], strict=True):
-            for offset, words in where[key]:
-                a, b = p - offset, p - offset + len(words)
-                if a >= 0 and b <= len(ids) and tuple(ids[a:b].tolist()) == words:
-                    return True
-    return False
+    return next(w.found(w.numbers(text), posted), None) is not None

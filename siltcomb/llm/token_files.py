@@ -16,8 +16,8 @@ Shards hold at most ``shard_tokens`` ids (a longer document has one of its own),
 by the shard and the longest document. They travel as the binary rows of a Parquet table, which
 Spark commits atomically to any store; :func:`export` puts one in a plain file.
 
-Texts: null counts as empty. Rows keep ascending order of (doc_id, text), null ids first; repeated
-ids are separate documents. Empty tables give a table of no shards. Other columns are ignored.
+Texts: null counts as empty. Rows keep ascending order of (doc_id, text), null ids first, and ids that are no integers count as
+null; repeated ids are separate documents. Empty tables give a table of no shards. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -254,7 +254,7 @@ def write_shards(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
             yield shard()
 
     ship(df.sparkSession)
-    t = narrowed(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
+    t = narrowed(df, doc_id=id_col, text=text_col).select(F.col("doc_id").try_cast("long").alias("doc_id"), "text")
     ordered = t.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return persisted(ordered.mapInArrow(run, "part int, seq int, n_ids long, shard binary"), "tokens")
 

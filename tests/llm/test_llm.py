@@ -634,3 +634,80 @@ def test_parity_never_claims_too_much():
         for change in (0, 1, n // 10, n // 2):
             t = np.unique(np.concatenate([s[change:], rng.integers(0, 1 << 63, change // 2).astype(np.uint64)]))
             assert near_copies.apart(near_copies.parity(s), near_copies.parity(t)) <= len(np.setxor1d(s, t))
+
+
+# every query over a table with all that may go wrong, and over an empty one
+
+NASTY = [None, "", " \n\t\n", "a", "a", "same line\nother", "é" * 50_000, "word " * 60_000, "x" * 30_000 + "\n" * 5_000, "<|endoftext|> 'll \x00  ", "idiot trash clown " * 40]
+NASTY_IDS = [7, None, 5, 5, 5, 1, 2, 3, 4, -9, None]
+
+
+def nasty(spark):
+    return docs(spark, NASTY, NASTY_IDS).withColumns({c: F.lit("x") for c in ("lang", "source", "fingerprint", "component_id", "start", "n_hit", "items", "mask", "keep", "labels", "predicted", "th", "pos1", "root")})
+
+
+def side_tables(spark):
+    return {"benchmark": spark.createDataFrame([(1, "word word word"), (2, None), (None, "a"), (3, "")], "item_id long, text string"), "labels": spark.createDataFrame([(1, 0), (2, 1), (None, 1), (3, None), (3, 0)], "doc_id long, toxic int")}
+
+
+@pytest.mark.parametrize("name", ["op2_decontaminate", "op3_token_files", "op4_token_counts", "op5_toxicity", "op6_line_dedup", "op8_byte_bpe", "op9_licenses", "op10_simhash"])
+def test_queries_over_odd_and_empty_tables(spark, tmp_path, name):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    got = query_on(spark, tmp_path / "a", name, documents=nasty(spark), **side_tables(spark))
+    assert sorted(r["doc_id"] or 0 for r in got) == sorted(i or 0 for i in NASTY_IDS)
+    texts = [t or "" for t in NASTY]
+    if name == "op4_token_counts":
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(JSON)
+        want = [(i or 0, len(t.encode()), len(tok.encode(t, add_special_tokens=False))) for i, t in zip(NASTY_IDS, texts, strict=True)]
+        assert sorted((r["doc_id"] or 0, r["n_bytes"], r["n_tokens"]) for r in got) == sorted(want) and all(r["over_limit"] == (r["n_tokens"] > 1024) for r in got)
+    if name == "op3_token_files":
+        from tokenizers import Tokenizer
+
+        tok, start, want = Tokenizer.from_file(JSON), 0, []
+        for i, t in sorted(zip(NASTY_IDS, NASTY, strict=True), key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, (x[1] or "").encode())):
+            ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+            want.append((start, i or 0, len(ids), zlib.crc32(ids)))
+            start += len(ids)
+        assert sorted((r["start"], r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in got) == want
+    if name == "op8_byte_bpe":
+        e = tiktoken_encoding()
+        ids = [np.array(e.encode_ordinary(t), "<u4") for t in texts]
+        want = [(i or 0, len(x), hashlib.sha256(x.tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, x, t in zip(NASTY_IDS, ids, texts, strict=True)]
+        assert sorted((r["doc_id"] or 0, r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got) == sorted(want)
+    if name == "op10_simhash":
+        fps, _ = brute_simhash(texts)
+        assert sorted((r["doc_id"] or 0, r["fingerprint"]) for r in got) == sorted((i or 0, f"{f:016x}") for i, f in zip(NASTY_IDS, fps, strict=True))
+    if name == "op5_toxicity":
+        assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
+        assert {r["doc_id"]: r["held_out"] for r in got if r["doc_id"] is not None} == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in NASTY_IDS if i is not None}
+    empty = {k: t.limit(0) for k, t in (("documents", nasty(spark)), *side_tables(spark).items())}
+    assert query_on(spark, tmp_path / "b", name, **empty) == []
+
+
+def test_pipeline_stages_over_odd_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    for k, t in side_tables(spark).items():
+        t.write.parquet(f"{tmp_path}/{k}.parquet")
+    for df in (nasty(spark), nasty(spark).limit(0)):
+        for i, (_, stage) in enumerate(cp.STAGES):
+            out = stage(spark, df, str(tmp_path))
+            if i < len(cp.STAGES) - 1:
+                assert out.columns == df.columns
+            some = df.count()
+            assert out.count() <= some and (out.count() > 0) == (some > 0)
+
+
+def test_near_duplicate_groups_do_not_depend_on_size_switches(spark):
+    """A posting of three and the same with seventy strangers more: no link is lost."""
+    rng = random.Random(35)
+    words = [f"v{i}" for i in range(9000)]
+    base = rng.choices(words, k=400)
+    shared = rng.choices(words, k=30)
+    texts = [" ".join(base), " ".join(base[:40] + ["new"] + base[41:]), " ".join(base[200:] + rng.choices(words, k=200))]
+    texts += [" ".join(shared + rng.choices(words, k=rng.randint(20, 60))) for _ in range(90)]
+    for some in (texts[:3], texts):
+        assert [r["doc_id"] for r in near_copies.keep_one(docs(spark, some)).orderBy("doc_id").collect()] == brute_near(some)

@@ -176,7 +176,7 @@ def _fitted(rows: list[tuple[bytes, int]]) -> Model:
     learn = [r for r, h in zip(rows, half, strict=True) if h]
     rest = [r for r, h in zip(rows, half, strict=True) if not h]
     y = np.array([label for _, label in rest], float)
-    if not 0 < y.mean() < 1:
+    if not len(y) or not 0 < y.mean() < 1:
         return flat
     tried = [x for x in (_curve(*dictionaries(learn, lengths), rest, y) for lengths in GRAMS) if x]
     return min(tried, key=lambda x: x[0])[1] if tried else flat

@@ -266,12 +266,13 @@ def read_shards(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for base, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = Shard(data)
-                ends = s.ends.all()
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                names = pa.array([None] * s.nulls + (s.names.all() + s.first).tolist(), pa.int64())
+                ends = [s.ends.select(i) for i in range(len(s))]
+                starts = [0, *ends[:-1]]
+                names = pa.array([s.doc_id(i) for i in range(len(s))], pa.int64())
                 ids = s.data.astype("<u4")
-                crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([names, pa.array(starts + s.base + base), pa.array(ends - starts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends, strict=True)]
+                first = s.base + base
+                yield pa.RecordBatch.from_arrays([names, pa.array([a + first for a in starts], pa.int64()), pa.array([b - a for a, b in zip(starts, ends, strict=True)], pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     # as many rows as the range partitions had, whatever the input
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))

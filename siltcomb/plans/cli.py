@@ -40,6 +40,7 @@ OPTIONS = (
     ("reverse-order", None, "reverse_order", None, "newest first"),
     ("no-cleanup", None, "cleanup", None, "leave files of months apart"),
     ("no-stats", None, "stats", None, "no counts by community"),
+    ("monthly-counts", None, "monthly_counts", str, "table of entries by month, for compat samples"),
 )
 ALSO = {"source": ["--src"], "commentregex": ["--regex", "-R"]}
 

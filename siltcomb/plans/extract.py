@@ -156,7 +156,11 @@ def extract(spark: SparkSession, spec: ExtractSpec, tagger: Callable | None = No
     if spec.semantics == "compat" and (spec.sample is not None or spec.reservoir is not None):
         df = dumps.line_index(df)
     if spec.sample is not None and spec.semantics == "compat":
-        per_month = [(r["file_name"], r["n"]) for r in df.groupBy("file_name").agg(F.count("*").alias("n")).orderBy("file_name").collect()]  # a row for each file
+        if spec.monthly_counts:  # a table of a row for each month, which saves a pass over the dumps
+            known = {(r["year"], r["month"]): r["n"] for r in dumps.monthly_counts(spark, spec.monthly_counts).collect()}
+            per_month = [(n, known[sinks.month_in(n)]) for n, _ in dumps.dump_files(spark, spec.input, spec.time_from, spec.time_to)]
+        else:
+            per_month = [(r["file_name"], r["n"]) for r in df.groupBy("file_name").agg(F.count("*").alias("n")).orderBy("file_name").collect()]  # a row for each file
         df = sampling.at_points(df, spec.sample, per_month)
     return replace(plan(df, spec, tagger), malformed=dumps.malformed(lines))
 

@@ -40,6 +40,7 @@ class ExtractSpec:
     cleanup: bool = True
     stats: bool = True
     semantics: str = "documented"
+    monthly_counts: str | None = None
 
     @property
     def table(self) -> str:
@@ -83,6 +84,8 @@ class ExtractSpec:
             wrong.append("a proportional and a fixed-size sample exclude each other")
         if self.sample is not None and not 0 <= self.sample <= 1:
             wrong.append("a share lies between 0 and 1")
+        if self.monthly_counts and self.semantics != "compat":
+            wrong.append("only the sequential sample asks how many entries a month has")
         if self.reservoir is not None and self.reservoir < 1:
             wrong.append("a fixed-size sample has at least one match")
         if self.table == "posts" and self.toplevel:

@@ -189,13 +189,16 @@ def test_samples(spark, dump):
     assert sorted(map(tuple, sampling.at_points(many, 0.001, per).collect())) == sorted((m, i) for m, at in points.items() for i in at)
 
 
-def test_compat_sample_of_lines(spark, dump):
+def test_compat_sample_of_lines(spark, dump, tmp_path):
     x = run(spark, dump, body_regex="t", include_quoted=True, sample=0.5, semantics="compat", time_to=(2010, 2))
     points = sampling.scan_points(0.5, [("RC_2010-01", 10), ("RC_2010-02", 3)])
     want = {("RC_2010-01", i) for i in points["RC_2010-01"]} | {("RC_2010-02", i) for i in points["RC_2010-02"]}
     if ("RC_2010-01", 0) in want:  # of which the first entry of the next month is a copy
         want.discard(("RC_2010-02", 0))
     assert {(r["file_name"], r["line_idx"]) for r in x.entries.collect()} == want
+    (tmp_path / "counts.txt").write_text("year\tmonth\tcount\n2010\t1\t10\n2010\t02\t3\n")
+    y = run(spark, dump, body_regex="t", include_quoted=True, sample=0.5, semantics="compat", time_to=(2010, 2), monthly_counts=str(tmp_path / "counts.txt"))
+    assert {(r["file_name"], r["line_idx"]) for r in y.entries.collect()} == want
 
 
 def test_counts_tell_the_total_from_a_missing_month(spark):

@@ -711,3 +711,14 @@ def test_near_duplicate_groups_do_not_depend_on_size_switches(spark):
     texts += [" ".join(shared + rng.choices(words, k=rng.randint(20, 60))) for _ in range(90)]
     for some in (texts[:3], texts):
         assert [r["doc_id"] for r in near_copies.keep_one(docs(spark, some)).orderBy("doc_id").collect()] == brute_near(some)
+
+
+def test_components_grow_by_links(spark):
+    rng = random.Random(36)
+    first, more = ([(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for n in (25, 12))
+    first, more = ([(max(x), min(x)) for x in some if x[0] != x[1]] for some in (first, more))
+    table = lambda some: spark.createDataFrame(some, "a long, b long")
+    roots = components.connected_components(table(first))
+    got, want = dict(rows(near_copies._merged(roots, table(more)))), dict(rows(components.connected_components(table(first + more))))
+    assert set(got) == set(want)
+    assert all((got[x] == got[y]) == (want[x] == want[y]) for x in got for y in got)

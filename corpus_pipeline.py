@@ -1,7 +1,8 @@
 """Corpus cleaning in stages, each of which reads what the one before it wrote.
 
 Toxic documents go; lines that ten documents share go from the others; of each group of near
-copies (Jaccard similarity 0.8 and more over five-word shingles) one document stays; documents that hold ten
+copies (Jaccard similarity 0.8 and more over five-word shingles, linked by SimHash and where its
+links end by an exact join) one document stays; documents that hold ten
 words of a benchmark item in a row go; the rest is encoded.
 
 Null and empty texts pass as they are. All stages but the last return the columns of their input.

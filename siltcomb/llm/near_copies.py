@@ -1,7 +1,11 @@
-"""Near-duplicate groups of texts: an exact join of shingle sets at Jaccard similarity 0.8.
+"""Near-duplicate groups of texts at Jaccard similarity 0.8: SimHash, then an exact join of shingle sets for what it leaves.
 
-A text is the set of its five-word shingles' 64-bit hashes. Rows of equal sets are one class. Texts of similarity 0.8 hold
-at least 0.8 of each other's shingles, so under any one order of all shingles the first fifth of either set (and one more) have a
+A text is the set of its five-word shingles' 64-bit hashes. Rows of equal sets are one class. Classes whose SimHash fingerprints are
+equal or, by the byte-position inverted index with count filtering, within two bits are linked first, each link only after
+the two texts were compared. Most pairs of similarity 0.8 differ in more bits than any count of shared bytes could ask for, so all pairs that
+these links don't put in one component are left to an exact join.
+
+Texts of similarity 0.8 hold at least 0.8 of each other's shingles, so under any one order of all shingles the first fifth of either set (and one more) have a
 shingle in common. Those prefixes are posted, and members of a posting whose sizes allow it are
 compared, which finds every pair. The order is by hash, with shingles last that a sample shows to be frequent: a passage
 that many texts share then links none of them. What the sample misses costs time, never a pair.
@@ -21,12 +25,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltcomb.llm._runtime import narrowed, persisted, ship
 from siltcomb.llm.components import connected_components
-from siltcomb.llm.simhash import LOWER
+from siltcomb.llm.simhash import LOWER, fingerprint, link_classes
 
 SHINGLE, SIMILARITY, PAIRWISE = 5, 0.8, 64
 #: Neighbours that a member of a large posting is linked with, and how often in another order before all pairs are tried.
@@ -115,26 +119,27 @@ def _frequent(t: DataFrame) -> np.ndarray:
 
 
 def _sets(df: DataFrame) -> DataFrame:
-    """(doc_id, th, s1, s2, n, first, bits): hash, size, posted prefix and parity bitmap of each row's set."""
+    """(doc_id, th, s1, s2, n, first, bits, fp): hash, size, posted prefix and parity bitmap of each row's set, SimHash of its text."""
     frequent = df.sparkSession.sparkContext.broadcast(_frequent(df))
 
     def run(batches):
         from xxhash import xxh3_128_digest
 
         for batch in batches:
-            hashes, n, first, bits = [], [], [], []
+            hashes, n, first, bits, fps = [], [], [], [], []
             for x in batch.column(2).to_pylist():
                 s = shingles(x)
                 hashes.append(xxh3_128_digest(s.tobytes()))
                 n.append(len(s))
                 first.append(prefix(s, frequent.value).tobytes())
                 bits.append(parity(s))
+                fps.append(fingerprint(x))
             f = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
-            columns = [batch.column(0), batch.column(1), pa.array(f[:, 0].copy()), pa.array(f[:, 1].copy()), pa.array(n, pa.int32()), pa.array(first, pa.binary()), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "s1", "s2", "n", "first", "bits"])
+            columns = [batch.column(0), batch.column(1), pa.array(f[:, 0].copy()), pa.array(f[:, 1].copy()), pa.array(n, pa.int32()), pa.array(first, pa.binary()), pa.array(bits, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "s1", "s2", "n", "first", "bits", "fp"])
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, s1 long, s2 long, n int, first binary, bits binary")
+    return df.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, f"doc_id {kind}, th long, s1 long, s2 long, n int, first binary, bits binary, fp long")
 
 
 def _fit(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -226,6 +231,25 @@ def _crossing(members: DataFrame, every: bool) -> DataFrame:
     return members.repartition("k").sortWithinPartitions("k", "o").mapInArrow(run, "a long, b long").distinct()
 
 
+def _near(classes: DataFrame) -> DataFrame:
+    """(a, b): pairs a > b of classes, enough to connect all whose SimHash fingerprints are equal or within two bits."""
+    ends = persisted(classes.groupBy("fp").agg(F.min("c").alias("c")), "fingerprints")
+    far = link_classes(ends)
+    for x in "ab":
+        far = far.join(ends.select(F.col("fp").alias(x), F.col("c").alias(f"c_{x}")), x)
+    # in a chain, so that no class's text is needed once for each of its copies
+    before = F.lag("c").over(Window.partitionBy("fp").orderBy("c"))
+    same = classes.select(F.col("c").alias("a"), before.alias("b")).where(F.col("b").isNotNull())
+    return same.union(far.select(F.greatest("c_a", "c_b"), F.least("c_a", "c_b")))
+
+
+def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs that ``roots`` (node, root) doesn't hold in one component."""
+    for x in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")), x, "left")
+    return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs that sizes and parity bitmaps don't rule out."""
 
@@ -253,15 +277,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _linked(classes: DataFrame, keyed: DataFrame) -> DataFrame:
-    """(node, root) of the classes that have near copies."""
+    """(node, root) of the classes that have near copies: those linked by SimHash, then all others."""
+    near = persisted(_possible(_near(classes), classes), "near")
     found = persisted(_candidates(classes), "pairs")
     pairs = persisted(_possible(found.where("not large").select("a", "b"), classes), "possible")
     large = found.where("large").select(F.col("b").alias("k"), F.col("a").alias("c"), "n")
-    some = pairs.select(F.explode(F.array("a", "b")).alias("c")).union(large.select("c")).distinct()
+    some = near.union(pairs).select(F.explode(F.array("a", "b")).alias("c")).union(large.select("c")).distinct()
     reps = classes.join(some, "c").select("c", F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"))
     texts = persisted(keyed.join(reps, keyed["doc_id"].eqNullSafe(reps["doc_id"]) & (keyed["th"] == reps["th"])).select("c", "text").dropDuplicates(["c"]), "texts")
-    links = persisted(_verified(pairs, texts), "links")
-    roots = connected_components(links)
+    roots = persisted(connected_components(_verified(near, texts)), "roots")
+    more = persisted(_verified(_across(pairs, roots), texts), "links")
+    roots = persisted(_merged(roots, more), "roots")
     if not large.limit(1).count():
         return roots
     members = persisted(large.join(classes.select("c", "bits"), "c"), "members")
@@ -294,8 +320,8 @@ def losers(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     # a class is named by the first half of its set's 128-bit hash; should two share it, that of the lesser second half is
     # compared with others and the other one is let be
     code = F.col("s1").alias("c")
-    found = fps.groupBy("s1").agg(F.min(F.struct("s2", name.alias("rep"))).alias("x"), F.min_by(F.struct("n", "first", "bits"), "s2").alias("y"))
-    classes = persisted(found.select(code, "x.s2", "x.rep", "y.n", "y.first", "y.bits"), "classes")
+    found = fps.groupBy("s1").agg(F.min(F.struct("s2", name.alias("rep"), "fp")).alias("x"), F.min_by(F.struct("n", "first", "bits"), "s2").alias("y"))
+    classes = persisted(found.select(code, "x.s2", "x.rep", "x.fp", "y.n", "y.first", "y.bits"), "classes")
     roots = _linked(classes, t.withColumn("th", F.xxhash64("text"))).select(F.col("node").alias("c"), "root")
     rooted = persisted(classes.join(roots, "c", "left").select("c", "s2", F.coalesce("root", "c").alias("root"), "rep"), "rooted")
     least = rooted.groupBy("root").agg(F.min("rep").alias("keeper"))

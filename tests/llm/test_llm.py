@@ -701,6 +701,31 @@ def test_pipeline_stages_over_odd_and_empty_tables(spark, tmp_path):
             assert out.count() <= some and (out.count() > 0) == (some > 0)
 
 
+def test_near_copies_are_linked_by_simhash(spark, monkeypatch):
+    """Without the exact join, what the fingerprints link goes, unless the texts differ; with it, what they have joined isn't compared again."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(37)
+    words, texts = [f"v{i}" for i in range(9000)], []
+    for _ in range(12):
+        w = rng.choices(words, k=900)
+        texts += [" ".join(w), " ".join(w + ["end"]), " ".join([*w[:5], "new", *w[6:]]), " ".join(w[120:])]
+    texts += ["ha " * 3, "ha " * 50]  # one fingerprint, no five words in common
+    fps, root = brute_simhash(texts)
+    sets = [set(near_copies._grams(t)) for t in texts]
+    alike = lambda i, j: 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    assert fps[-1] == fps[-2] and not alike(-1, -2) and all(alike(i, r) for i, r in enumerate(root[:-2]))
+    want = sorted(set(root[:-2])) + [len(texts) - 2, len(texts) - 1]
+    assert len(brute_near(texts)) < len(want) < len(texts) - 12
+
+    across, compared = near_copies._across, []
+    monkeypatch.setattr(near_copies, "_across", lambda pairs, roots: (compared.append((pairs.count(), (x := across(pairs, roots)).count())), x)[1])
+    assert [r["doc_id"] for r in cp.drop_near_copies(spark, docs(spark, texts), "").orderBy("doc_id").collect()] == brute_near(texts)
+    assert 0 < compared[0][1] < compared[0][0]
+    monkeypatch.setattr(near_copies, "_candidates", lambda classes: spark.createDataFrame([], "a long, b long, n int, large boolean"))
+    assert [r["doc_id"] for r in cp.drop_near_copies(spark, docs(spark, texts), "").orderBy("doc_id").collect()] == want
+
+
 def test_near_duplicate_groups_do_not_depend_on_size_switches(spark):
     """A posting of three and the same with seventy strangers more: no link is lost."""
     rng = random.Random(35)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -42,6 +44,15 @@ def narrowed(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def give_back() -> None:
+    """Returns to the system what Arrow and malloc hold for later; workers stay after their tasks, beside those of the next stage."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError, TypeError):  # a libc without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks_of(texts: list, limit: int) -> Iterator[tuple[int, int]]:
     """Index ranges of ``texts`` of about ``limit`` characters each, so that working memory is bounded."""
     start = size = 0

@@ -23,7 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from siltcomb.llm._pieces import PieceTable
-from siltcomb.llm._runtime import narrowed, ship
+from siltcomb.llm._runtime import give_back, narrowed, ship
+
+
+#: Pre-tokens and pieces that are remembered, and characters of texts that are worked on at once; they decide what a worker takes.
+KNOWN, CHUNK = 250_000, 2_000_000
 
 
 class RankBitmap:
@@ -104,15 +108,16 @@ class RankQueueBPE:
         todo = [i for i, p in enumerate(pieces) if p and not out[i]]
         if not todo:
             return out
-        data = np.frombuffer(b"".join([pieces[i] for i in todo]), np.uint8).astype(np.int64)
+        data = np.frombuffer(b"".join([pieces[i] for i in todo]), np.uint8)
         n = len(data)
+        kind = np.int32 if n < 1 << 31 else np.int64
         ends = np.cumsum([len(pieces[i]) for i in todo])
         starts = np.concatenate([[0], ends[:-1]])
-        token, alive = self.single[data], np.ones(n, bool)
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        token, alive = self.single.astype(np.int32)[data], np.ones(n, bool)
+        after, before = np.arange(1, n + 1, dtype=kind), np.arange(-1, n - 1, dtype=kind)
         after[ends - 1], before[starts] = -1, -1
-        pair = np.full(n, -1, np.int64)
-        pair[:-1] = self.first_pairs[data[:-1] << 8 | data[1:]]
+        pair = np.full(n, -1, np.int32)
+        pair[:-1] = self.first_pairs[data[:-1].astype(np.int32) << 8 | data[1:]]
         pair[ends - 1] = -1
         queue, buckets = RankBitmap(self.size), {}
 
@@ -129,7 +134,10 @@ class RankQueueBPE:
                     buckets[r] = [positions[a:b]]
                     queue.add(r)
 
-        file(np.arange(n), pair)
+        def wide(positions: np.ndarray) -> np.ndarray:
+            return token[positions].astype(np.int64)
+
+        file(np.arange(n, dtype=kind), pair)
         while (rank := queue.first()) >= 0:
             queue.discard(rank)
             at = buckets.pop(rank)
@@ -145,7 +153,7 @@ class RankQueueBPE:
                             taken = j
                     at = np.array(keep, np.int64)
                 k, p = after[after[at]], before[at]
-                near = np.concatenate([rank << 32 | token[k[k >= 0]], token[p[p >= 0]] << 32 | rank, [rank << 32 | rank]])
+                near = np.concatenate([rank << 32 | wide(k[k >= 0]), wide(p[p >= 0]) << 32 | rank, [rank << 32 | rank]])
                 near = self._find(near)
                 if ((near >= 0) & (near < rank)).any():
                     # one of the new pairs comes before the rest of this bucket
@@ -160,11 +168,11 @@ class RankQueueBPE:
             has = k >= 0
             before[k[has]] = at[has]
             right = np.full(len(at), -1, np.int64)
-            right[has] = self._find(rank << 32 | token[k[has]])
+            right[has] = self._find(rank << 32 | wide(k[has]))
             pair[at] = right
             p = before[at]
             p = p[p >= 0]
-            left = self._find(token[p] << 32 | rank)
+            left = self._find(wide(p) << 32 | rank)
             pair[p] = left
             file(np.concatenate([at, p]), np.concatenate([right, left]))
         ids = token[alive].astype("<u4").tobytes()
@@ -188,13 +196,13 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.plain = all(self.split(x) == y for x, y in ((" ab", [" ab"]), (" ab,", [" ab", ","]), ("ab!", ["ab", "!"]), (" a.", [" a", "."])))
         self.known: dict[str, bytes] = {}
-        self.table = PieceTable(self._work)
+        self.table = PieceTable(self._work, limit=KNOWN)
 
     def _work(self, chunks: list[str]) -> list[bytes]:
         split = self.split
         # an ASCII word is one match of any such pattern, a mark behind it another
         cut = [split(c) if not (c.isascii() and (c[:1] == " " or c[:1].isalpha())) else [c] if c[1:].isalpha() else [c[:-1], c[-1]] if c[1:-1].isalpha() and c[-1] in ".,;:?!" else split(c) for c in chunks] if self.plain else list(map(split, chunks))
-        if len(self.known) > 500_000:
+        if len(self.known) > KNOWN:
             self.known.clear()
         known = self.known
         missing = [p for p in {p for c in cut for p in c} if p not in known]
@@ -207,9 +215,15 @@ class Codec:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        for values in self.table.rows(texts):
+        for values in self.table.rows(texts, CHUNK):
             yield b"".join(values)
 
+    def forget(self) -> None:
+        """Lets go of what is remembered of texts: a worker outlives its task, and what comes next needs the memory."""
+        self.known = {}
+        self.table = PieceTable(self._work, limit=KNOWN)
+        give_back()
+
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the ids stand for."""
         return b"".join(map(self.bpe.bytes_of.__getitem__, memoryview(ids).cast("I")))
@@ -220,15 +234,26 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``CHUNK`` bytes, so that no more texts than that are Python objects at once."""
+    for batch in batches:
+        step = max(1, batch.num_rows * CHUNK // max(1, batch.nbytes))
+        for a in range(0, batch.num_rows, step):
+            yield batch.slice(a, step)
+
+
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): the ids as an array, one row for each row of ``df``."""
 
     def run(batches):
         c = codec(path, pattern)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = [memoryview(x).cast("I").tolist() for x in c.encode(texts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        try:
+            for batch in slices(batches):
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                ids = [memoryview(x).cast("I").tolist() for x in c.encode(texts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        finally:
+            c.forget()
 
     ship(df.sparkSession)
     t = narrowed(df, doc_id=id_col, text=text_col)
@@ -255,14 +280,17 @@ def round_trip_digests(df: DataFrame, path: str, pattern: str, id_col: str = "do
     def run(batches):
         c = codec(path, pattern)
         sha = hashlib.sha256
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            n, a, b = [], [], []
-            for ids in c.encode(texts):
-                n.append(len(ids) >> 2)
-                a.append(sha(ids).hexdigest())
-                b.append(sha(c.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for batch in slices(batches):
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                n, a, b = [], [], []
+                for ids in c.encode(texts):
+                    n.append(len(ids) >> 2)
+                    a.append(sha(ids).hexdigest())
+                    b.append(sha(c.decode(ids)).hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            c.forget()
 
     ship(df.sparkSession)
     t = narrowed(df, doc_id=id_col, text=text_col)

@@ -75,6 +75,36 @@ def test_bpe_tables(spark):
     assert byte_bpe.round_trip_digests(df.limit(0), TIK, P.PATTERN).count() == 0
 
 
+def test_bpe_workers_forget_what_they_saw(spark):
+    """Tasks are cut to bounded pieces and leave nothing in the workers that the next stage gets."""
+    texts = [f"w{i} " * 3 for i in range(4000)]
+    first = byte_bpe.round_trip_digests(docs(spark, texts).repartition(4), TIK, P.PATTERN)
+    assert {r["doc_id"]: r["decoded_sha256"] for r in first.collect()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
+    path, pattern = TIK, P.PATTERN
+
+    def run(batches):
+        import pyarrow as pa
+
+        list(batches)
+        loaded = byte_bpe.codec.cache_info().currsize
+        c = byte_bpe.codec(path, pattern)
+        yield pa.RecordBatch.from_pydict({"loaded": [loaded], "held": [len(c.known) + len(c.table.tail) + len(c.table.odd) + len(c.table.head)]})
+
+    after = spark.range(0, 4, 1, 4).mapInArrow(run, "loaded long, held long").collect()
+    assert any(r["loaded"] for r in after) and not any(r["held"] for r in after)
+
+
+def test_bpe_takes_batches_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(byte_bpe, "CHUNK", 10_000)
+    texts = ["ab " * 1000] * 40 + [None, ""]
+    parts = list(byte_bpe.slices([pa.RecordBatch.from_pydict({"id": list(range(42)), "text": texts}), pa.RecordBatch.from_pydict({"id": [], "text": []})]))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(42)) and max(p.num_rows for p in parts) <= 4
+    c = byte_bpe.Codec(TIK, P.PATTERN)
+    assert [c.decode(x).decode() for p in parts for x in c.encode([t or "" for t in p.column(1).to_pylist()])] == [t or "" for t in texts]
+
+
 # 3
 
 

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from contextlib import suppress
+from dataclasses import replace
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +18,8 @@ from siltcomb.functions.workers import importable
 SPAN = "array<struct<start:int,end:int,matched:string>>"
 #: Matches whose positions are summed up at once.
 BLOCK = 128
+#: Characters of the texts whose spans a Python worker hands over at once; a text has at most one match more than characters.
+AT_ONCE = 1 << 18
 #: Marks of a quoted line, escaped as dumps have it or raw.
 QUOTED_LINE = r"^[ \t]*(?:&gt;|>)"
 
@@ -67,17 +75,56 @@ def _placed(pieces: Column) -> Column:
     return let(pieces, lambda p: F.when(F.size(p) > 0, placed(p)).otherwise(none))
 
 
+def finder(pattern: Pattern):
+    """What a Python worker makes of batches of texts: their spans, in batches of their own.
+
+    A batch of texts can have an empty match at each of its characters, so spans are numbers and one string, of a few texts at once.
+    """
+    every, at_once, cut = pattern.compiled().finditer, AT_ONCE, None
+    if not pattern.compiled().groups:  # gaps and matches in turns, which takes half the time of match objects
+        with suppress(re.error):  # inline flags can't stand in a group
+            cut = replace(pattern, source=f"({pattern.source})").compiled().split
+
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from itertools import chain
+
+        import numpy as np
+        import pyarrow as pa
+
+        def places(t: str) -> np.ndarray:
+            if not cut:
+                return np.fromiter(chain.from_iterable(map(re.Match.span, every(t))), np.int32).reshape(-1, 2)
+            return np.cumsum(np.fromiter(map(len, cut(t)[:-1]), np.int32), dtype=np.int32).reshape(-1, 2)
+
+        def column(texts: list[str]) -> pa.Array:
+            found = [places(t) for t in texts]
+            said = [t[a:b].encode() for t, x in zip(texts, found, strict=True) for a, b in x[x[:, 0] < x[:, 1]].tolist()]
+            at, upto = np.concatenate(found), lambda sizes: np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            sizes = np.zeros(len(at), np.int64)
+            sizes[at[:, 0] < at[:, 1]] = [len(w) for w in said]
+            matched = pa.StringArray.from_buffers(len(at), pa.py_buffer(upto(sizes)), pa.py_buffer(b"".join(said)))
+            each = pa.StructArray.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), matched], ["start", "end", "matched"])
+            return pa.ListArray.from_arrays(pa.array(upto([len(x) for x in found])), each)
+
+        for batch in batches:
+            texts, n = [], 0
+            for t in batch:
+                texts.append(t.as_py())
+                n += len(texts[-1])
+                if n >= at_once:
+                    yield column(texts)
+                    texts, n = [], 0
+            if texts:
+                yield column(texts)
+
+    return find
+
+
 def spans(text: Column, pattern: Pattern) -> Column:
     """All matches in order: (start, end, matched), half-open, in code points. Null text has none."""
     text = F.coalesce(text, F.lit(""))
     if not pattern.spans_in_jvm:
-        every = pattern.compiled().finditer
-
-        @F.pandas_udf(SPAN)
-        def find(s: pd.Series) -> pd.Series:
-            return s.map(lambda t: [{"start": m.start(), "end": m.end(), "matched": m[0]} for m in every(t)])
-
-        return find(text)
+        return F.arrow_udf(finder(pattern), SPAN)(text)
     return _placed(_pieces(text, pattern))
 
 

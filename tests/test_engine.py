@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltcomb.functions import entries as E
+from siltcomb.functions import matching
 from siltcomb.functions.matching import has_match, inside_quote, span_text, spans, unquoted_spans
 from siltcomb.functions.regex import checked
 from siltcomb.operators import counts, dedup, predicates, sampling, sinks
@@ -32,6 +33,20 @@ def test_spans_are_those_of_finditer(spark, case):
                 assert r["h"] == bool(re.search(p, t, 0 if case else re.I)), (p, t)
 
 
+def test_python_workers_hand_over_few_spans_at_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    texts, p = ["ab 123456 😀789 é", "", "x" * 5000, "z"] * 500, checked("(?:[0-9]{3})*")
+    made = [(len(x), len(x.flatten())) for x in matching.finder(p)(iter([pa.array(texts)]))]
+    assert sum(n for n, _ in made) == len(texts) and sum(n for _, n in made) == 500 * sum(len(re.findall(p.source, t)) for t in texts[:4])
+    assert max(n for _, n in made) < matching.AT_ONCE + 6000
+    monkeypatch.setattr(matching, "AT_ONCE", 20)
+    df = spark.createDataFrame(list(enumerate([*TEXTS, *texts[:9]])), "i int, t string").coalesce(1)
+    for source in (p.source, "(?:(é)|[0-9])*", "(?i)É*|a??"):  # without groups, with one, with flags that can't be in one
+        for r in df.select("t", spans(F.col("t"), checked(source)).alias("s")).collect():
+            assert [tuple(x) for x in r["s"]] == [(m.start(), m.end(), m[0]) for m in re.finditer(source, r["t"] or "", re.I)], source
+
+
 def test_no_python_where_the_jvm_can(spark):
     df = spark.createDataFrame([("a",)], "t string")
     text = lambda p: df.select(spans(F.col("t"), checked(p)))._jdf.queryExecution().executedPlan().toString()

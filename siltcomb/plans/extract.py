@@ -151,9 +151,10 @@ def counted(t: DataFrame) -> DataFrame:
 def extract(spark: SparkSession, spec: ExtractSpec, tagger: Callable | None = None, codec: str = "auto") -> Extraction:
     """An extraction from a folder of dumps."""
     spec.validate()
-    lines = dumps.lines(spark, spec.input, spec.time_from, spec.time_to, codec)
+    in_order = spec.semantics == "compat" and (spec.sample is not None or spec.reservoir is not None)
+    lines = dumps.lines(spark, spec.input, spec.time_from, spec.time_to, codec, spread=not in_order)
     df = dumps.parsed(lines, spec.table)
-    if spec.semantics == "compat" and (spec.sample is not None or spec.reservoir is not None):
+    if in_order:
         df = dumps.line_index(df)
     if spec.sample is not None and spec.semantics == "compat":
         if spec.monthly_counts:  # a table of a row for each month, which saves a pass over the dumps
@@ -171,6 +172,8 @@ def save(x: Extraction, at=None) -> list[str]:
     name = sinks.name_of(spec, at=at)
     out: list[str] = []
     base = f"{spec.output.rstrip('/')}/" if spec.output else ""
+    if spec.count and not (spec.stats and base):  # nothing to write
+        return out
     entries = stored(x.entries, "entries")
     x = derived(entries, spec)
     if not spec.count:

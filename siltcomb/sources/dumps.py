@@ -16,12 +16,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from siltcomb.functions.values import within
 from siltcomb.functions.workers import importable
-from siltcomb.sources.store import files, head
+from siltcomb.sources.store import files, fs_and_path, head
 
 COMMENT = ("id", "author", "author_flair_text", "body", "subreddit", "score", "created_utc", "link_id", "parent_id", "permalink")
 POST = ("id", "author", "author_flair_text", "selftext", "title", "subreddit", "score", "created_utc", "permalink")
 #: The largest zstd window that the JVM reads.
 JVM_WINDOW = 1 << 27
+#: Bytes of files that can't be split for each task that their lines are dealt to.
+DEALT = 8 << 20
 #: A month file's name: kind, month, codec.
 NAME = r"^R([CS])_(\d{4})-(\d{2})(\.(?:zst|xz|bz2|gz))?$"
 
@@ -123,10 +125,11 @@ def dump_files(spark: SparkSession, path: str, first: tuple[int, int] | None = N
     return [(n, p) for n, p in files(spark, path) if re.match(r"R[CS]_\d{4}-\d{2}", n) and within(n, first, last)]
 
 
-def lines(spark: SparkSession, path: str, first: tuple[int, int] | None = None, last: tuple[int, int] | None = None, codec: str = "auto") -> DataFrame:
+def lines(spark: SparkSession, path: str, first: tuple[int, int] | None = None, last: tuple[int, int] | None = None, codec: str = "auto", spread: bool = False) -> DataFrame:
     """(file_name, block_start, value) of the dump lines in range; files out of range aren't opened.
 
-    ``codec`` is ``jvm`` or ``python`` to read all files one way; ``auto`` decides by each file's first bytes.
+    ``codec`` is ``jvm`` or ``python`` to read all files one way; ``auto`` decides by each file's first bytes. With ``spread``, what one
+    task must read, a file that can't be split, is dealt out to many as lines; the order of lines is lost.
     """
     found = dump_files(spark, path, first, last)
     by: dict[str, list[str]] = {"jvm": [], "python": []}
@@ -134,17 +137,31 @@ def lines(spark: SparkSession, path: str, first: tuple[int, int] | None = None,
         by[reader_of(name, head(spark, full, 18)) if codec == "auto" else codec].append(full)
     out = None
     if by["jvm"]:
-        t = spark.read.text(by["jvm"])
-        out = t.select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block_start"), "value")
+        whole = [p for p in by["jvm"] if spread and p.endswith((".gz", ".zst"))]
+        for paths in (whole, [p for p in by["jvm"] if p not in whole]):
+            if paths:
+                t = spark.read.text(paths)
+                t = t.select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block_start"), "value")
+                t = dealt(t, paths) if whole and paths is whole else t
+                out = t if out is None else out.unionByName(t)
     if by["python"]:
         importable(spark)
         spark.dataSource.register(LongWindowSource)
         t = spark.read.format("jsonl_dumps").option("paths", json.dumps(by["python"])).load()
         t = t.select("file_name", F.lit(0).cast("bigint").alias("block_start"), "value")
+        t = dealt(t, by["python"]) if spread else t
         out = t if out is None else out.unionByName(t)
     return spark.createDataFrame([], "file_name string, block_start bigint, value string") if out is None else out
 
 
+def dealt(lines_: DataFrame, paths: list[str]) -> DataFrame:
+    """Lines of files in turns to as many tasks as keep all cores busy, and more where files are large. Copies don't meet in one task."""
+    spark = lines_.sparkSession
+    size = sum(fs.getFileStatus(p).getLen() for fs, p in (fs_and_path(spark, x) for x in paths))
+    n = max(4 * spark.sparkContext.defaultParallelism, size // DEALT)
+    return lines_.withColumn("__i", F.monotonically_increasing_id()).repartition(n, "__i").drop("__i")
+
+
 def parsed(lines_: DataFrame, kind: str, mode: str = "PERMISSIVE") -> DataFrame:
     """Entries of the pruned schema with ``raw``, ``file_name`` and ``block_start``; lines that aren't JSON objects are left out.
 
@@ -165,9 +182,9 @@ def malformed(lines_: DataFrame) -> DataFrame:
     return lines_.withColumn("j", j).where("j is null or j._corrupt_record is not null").groupBy("file_name").agg(F.count("*").alias("n"))
 
 
-def scan(spark: SparkSession, path: str, kind: str | None = None, first=None, last=None, codec: str = "auto", mode: str = "PERMISSIVE") -> DataFrame:
+def scan(spark: SparkSession, path: str, kind: str | None = None, first=None, last=None, codec: str = "auto", mode: str = "PERMISSIVE", spread: bool = False) -> DataFrame:
     """Entries of a folder of dumps."""
-    return parsed(lines(spark, path, first, last, codec), kind or kind_of(path), mode)
+    return parsed(lines(spark, path, first, last, codec, spread), kind or kind_of(path), mode)
 
 
 def line_index(entries: DataFrame) -> DataFrame:
@@ -205,7 +222,7 @@ def monthly_counts(spark: SparkSession, path: str) -> DataFrame:
 
 def ingest(spark: SparkSession, path: str, to: str, kind: str | None = None, codec: str = "auto") -> None:
     """Rewrite dumps as Parquet in folders by year and month, for repeated queries."""
-    t = scan(spark, path, kind, codec=codec)
+    t = scan(spark, path, kind, codec=codec, spread=True)
     year, month = file_date(F.col("file_name"))
     t.withColumn("year", year).withColumn("month", month).repartition("year", "month", F.pmod(F.xxhash64("id"), F.lit(64))).write.partitionBy("year", "month").parquet(to)
 

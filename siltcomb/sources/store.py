@@ -69,16 +69,26 @@ def put(spark: SparkSession, path: str, data: bytes) -> None:
 
 
 def put_text(df: DataFrame, path: str, compression: str = "none") -> None:
-    """Write the one string column of ``df`` as a single file of lines under a name of its own (a month's dump is one file)."""
+    """Write the one string column of ``df`` as a single file of lines under a name of its own (a month's dump is one file).
+
+    Each task writes a part, and parts are put behind each other in order: plain text, gzip members and bzip2 streams may be.
+    """
     spark = df.sparkSession
     folder = f"{path}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).text(folder)
     fs, to = fs_and_path(spark, path)
-    part = [full for name, full in files(spark, folder) if name.startswith("part-")]
-    if len(part) > 1:
-        raise ValueError("a file of lines is written by one task")
-    if part:
-        fs.rename(fs_and_path(spark, part[0])[1], to)
+    parts = [full for name, full in files(spark, folder) if name.startswith("part-")]
+    if len(parts) == 1:
+        fs.rename(fs_and_path(spark, parts[0])[1], to)
     else:
-        fs.create(to, False).close()
+        out = fs.create(to, False)
+        try:
+            for part in parts:
+                stream = fs.open(fs_and_path(spark, part)[1])
+                try:
+                    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+                finally:
+                    stream.close()
+        finally:
+            out.close()
     fs.delete(fs_and_path(spark, folder)[1], True)

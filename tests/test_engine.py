@@ -14,6 +14,7 @@ from siltcomb.operators import counts, dedup, predicates, sampling, sinks
 from siltcomb.plans.extract import extract, plan, save
 from siltcomb.plans.spec import ExtractSpec
 from siltcomb.sources import dumps
+from siltcomb.sources.store import put_text
 
 TEXTS = ["Never gonna give you up", "😀gonna 😀 go", "", None, "they are they", "THEY'RE, they’re; them_x", "a\nb\nc g\n", "x̂ é é", "\x1c a b", "ÄÖ äö ß ſ K", "1²३ ٣", "{a} [b] a-b ^"]
 PATTERNS = [r"g\w+", r"^a", r"x", r"$", r"(?:(?<=^)|(?<=\W))(they|them)(?=$|(?=\W))", r"(?P<q>[aeiou])(?P=q)?", r"\bth\w*\b", r"[\w']+", r"\s+", r"\S+", r"[^\s]+", r"\d+", r"[äö]+", r"a*", r"\b", r"\{a\}", r"{a}", r"[[b\]]", r"a{,2}b", r"\w(?!\w)", r"\Z", r".+", r"[a-c&&b]+"]
@@ -301,3 +302,31 @@ def test_stream(spark, dump, tmp_path):
     t = live.drained(s.select("id", "raw"), str(tmp_path / "stream"))
     assert t.count() == 13
     assert span_text is not None
+
+
+@pytest.mark.parametrize(("suffix", "how"), [("", "none"), (".gz", "gzip"), (".bz2", "bzip2")])
+def test_a_month_is_written_and_read_by_many_tasks(spark, tmp_path, suffix, how):
+    rows = [entry(i, body=f"they {i} " + "".join(chr(97 + (i * k) % 26) for k in range(300))) for i in range(4000)]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)], "i int, value string").repartitionByRange(5, "i").sortWithinPartitions("i")
+    put_text(df.select("value"), f"file://{tmp_path}/comments/RC_2010-01{suffix}", how)
+    path = str(tmp_path / "comments")
+    for codec in ("jvm", "python"):
+        t = dumps.scan(spark, path, codec=codec).select("id")
+        assert [r[0] for r in t.collect()] == [r["id"] for r in rows]
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")  # many splits of concatenated streams
+        try:
+            assert dumps.scan(spark, path, codec="jvm").select("id").distinct().count() == dumps.lines(spark, path, codec="jvm").count() == 4000
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert dumps.lines(spark, path, codec=codec, spread=True).rdd.getNumPartitions() >= (1 if codec == "jvm" and suffix != ".gz" else 8)
+    x = run(spark, path, body_regex="they", soft_filter=False)
+    assert x.results.count() == 4000 and x.counts.where("total").first()["n"] == 4000
+    assert [r["line_idx"] for r in dumps.line_index(dumps.scan(spark, path)).orderBy("line_idx").collect()] == list(range(4000))
+
+
+def test_counts_alone_store_nothing(spark, dump, monkeypatch):
+    from siltcomb.plans import cli
+    from siltcomb.plans import extract as module
+
+    monkeypatch.setattr(module, "stored", lambda *_: pytest.fail("entries were stored for no file"))
+    assert cli.run(spark, ["--input", dump, "--commentregex", "they", "--count"])[0] == "9 instances for January 2010"

@@ -228,5 +228,14 @@ def ingest(spark: SparkSession, path: str, to: str, kind: str | None = None, cod
 
 
 def results(spark: SparkSession, path: str) -> DataFrame:
-    """Result tables that were written as CSV."""
-    return spark.read.csv(path, sep=";", quote='"', escape='"', multiLine=True, header=True)
+    """Result tables that were written as CSV.
+
+    Their folders, of which there may be thousands, are listed by a few tasks for each core; Spark would start a task for each folder.
+    """
+    tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(tasks)
+    spark.conf.set(tasks, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        return spark.read.csv(path, sep=";", quote='"', escape='"', multiLine=True, header=True)
+    finally:
+        spark.conf.set(tasks, before)

@@ -330,3 +330,14 @@ def test_counts_alone_store_nothing(spark, dump, monkeypatch):
 
     monkeypatch.setattr(module, "stored", lambda *_: pytest.fail("entries were stored for no file"))
     assert cli.run(spark, ["--input", dump, "--commentregex", "they", "--count"])[0] == "9 instances for January 2010"
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    out, tasks = str(tmp_path / "out"), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    sinks.write_csv(spark.range(60).select("id", F.col("id").alias("dump_month")), out, ("dump_month",))
+    before = spark.conf.get(tasks)
+    spark.sparkContext.setJobGroup("listing", "")
+    assert dumps.results(spark, out).count() == 60 and spark.conf.get(tasks) == before
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism
